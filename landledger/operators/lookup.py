@@ -106,7 +106,7 @@ def lookup_join(
     n = len(right_keys)
     lk, rk = [f"_lk{i}" for i in range(n)], [f"_rk{i}" for i in range(n)]
     lhs = left.select("*", *[k.alias(a) for k, a in zip(left_keys, lk, strict=True)])
-    rhs = right.select(*[F.col(k).alias(a) for k, a in zip(right_keys, rk, strict=True)], *payload)
+    rhs = right.withColumnsRenamed(dict(zip(right_keys, rk, strict=True)))
 
     if null_safe:
         match = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(lk, rk, strict=True)]
@@ -116,10 +116,10 @@ def lookup_join(
             lhs, rhs = _salted(lhs, rhs, lk, rk, hashable_columns(left), hot_share, salts)
             match.append(F.col("_ls") == F.col("_rs"))
 
-    joined = lhs.join(rhs, reduce(Column.__and__, match), "left")
+    joined = lhs.join(rhs, reduce(Column.__and__, match), "left").drop(*lk, *rk, "_ls", "_rs")
     if on is not None:
         return joined.select(*on, *[c for c in left.columns if c not in on], *payload)
-    return joined.select(*left.columns, *payload)
+    return joined
 
 
 def _salted(lhs, rhs, lk, rk, row_columns, hot_share, salts):
@@ -128,25 +128,21 @@ def _salted(lhs, rhs, lk, rk, row_columns, hot_share, salts):
     The usual right salt is 0, written as ``hash % 1``: Catalyst would fold a
     literal into a filter on the left and drop it from the shuffle key.
     """
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in row_columns])
-    any_null = reduce(Column.__or__, [F.col(a).isNull() for a in lk])
-    left_salt = F.when(any_null, F.pmod(row_hash, F.lit(NULL_SPREAD)))
-    zero = F.pmod(F.xxhash64(*[F.col(b) for b in rk]), F.lit(1))
+    row_hash = "xxhash64({})".format(", ".join(f"`{c}`" for c in row_columns))
+    any_null = " OR ".join(f"{a} IS NULL" for a in lk)
+    left_salt = F.expr(f"pmod({row_hash}, {NULL_SPREAD}L)")
+    zero = F.expr("pmod(xxhash64({}), 1L)".format(", ".join(rk)))
     if not hot_share:
         return (
-            lhs.withColumn("_ls", left_salt.otherwise(F.lit(0).cast("bigint"))),
+            lhs.withColumn("_ls", F.when(F.expr(any_null), left_salt).otherwise(F.lit(0).cast("bigint"))),
             rhs.withColumn("_rs", zero),
         )
     hot = hot_keys(lhs, lk, hot_share).withColumn("_hot", F.lit(True))
-    lhs = lhs.join(F.broadcast(hot), lk, "left").withColumn(
-        "_ls",
-        left_salt.when(F.col("_hot"), F.pmod(row_hash, F.lit(salts))).otherwise(F.lit(0).cast("bigint")),
-    )
-    hot_right = hot.select(*[F.col(a).alias(b) for a, b in zip(lk, rk, strict=True)], "_hot")
-    last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
-    rhs = rhs.join(F.broadcast(hot_right), rk, "left").withColumn(
-        "_rs", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint")))
-    )
+    spread = F.when(F.expr(any_null), left_salt).when(F.col("_hot"), F.expr(f"pmod({row_hash}, {salts}L)"))
+    lhs = lhs.join(F.broadcast(hot), lk, "left").withColumn("_ls", spread.otherwise(F.lit(0).cast("bigint")))
+    hot_right = hot.withColumnsRenamed(dict(zip(lk, rk, strict=True)))
+    copies = F.expr(f"sequence(0L, CASE WHEN _hot THEN {salts - 1}L ELSE 0L END)")
+    rhs = rhs.join(F.broadcast(hot_right), rk, "left").withColumn("_rs", F.explode(copies))
     return lhs.drop("_hot"), rhs.drop("_hot")
 
 

@@ -256,11 +256,10 @@ def build_silver(
     return enrich(unique, sides, null_safe_address, report, hot_share)
 
 
-def sized(df: DataFrame, keys: Sequence[str], label: str) -> tuple[DataFrame, lookup.SideSize]:
-    """A commune table written once, measured, and hinted if it is small."""
-    written = materialize(df, label)
-    size = lookup.measure_side(written, keys)
-    return lookup.broadcast_within(written, size), size
+def hinted(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, lookup.SideSize]:
+    """A commune table, measured, and with a broadcast hint if it is small."""
+    size = lookup.measure_side(df, keys)
+    return lookup.broadcast_within(df, size), size
 
 
 def run_silver(
@@ -281,8 +280,8 @@ def run_silver(
     copied from it. Nothing is published if a blocking rule fails.
     """
     sides = read_lookups(spark, layout, years, departments, one_per_address)
-    sides.incomes, income_size = sized(sides.incomes, ["code_commune"], "incomes")
-    sides.communes, commune_size = sized(sides.communes, ["code_commune_insee"], "communes")
+    sides.incomes, income_size = hinted(materialize(sides.incomes, "incomes"), ["code_commune"])
+    sides.communes, commune_size = hinted(materialize(sides.communes, "communes"), ["code_commune_insee"])
     report = JoinReport()
     sales = read_sales(spark, layout, years, departments)
     staged = materialize(build_silver(sales, sides, null_safe_address, report, hot_share), "silver")

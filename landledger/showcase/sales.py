@@ -133,25 +133,25 @@ def raw_snapshot(t: Tables) -> DataFrame:
             F.concat(F.lit("C"), "code").alias("nom"),
             "code",
             F.substring("code", 1, 2).alias("codeDepartement"),
+            F.col("region").cast("string").alias("region"),
             F.col("last").cast("bigint").alias("population"),
             F.when(F.col("first") < 20, F.struct(F.concat(F.lit("E"), "first").alias("nom"))).alias("epci"),
             F.struct(F.array(F.col("first").cast("double"), F.col("last").cast("double")).alias("coordinates")).alias("centre"),
         )
     )
-    departments = communes.groupBy("codeDepartement").agg(F.lit("0").alias("codeRegion")).select(
+    departments = communes.groupBy("codeDepartement").agg(F.min("region").alias("codeRegion")).select(
         F.concat(F.lit("D"), "codeDepartement").alias("nom"), F.col("codeDepartement").alias("code"), "codeRegion"
     )
     regions = t.region.select(F.col("r_name").alias("nom"), F.col("r_regionkey").cast("string").alias("code"))
-    return nested.nest_snapshot(departments, regions, communes)
+    return nested.nest_snapshot(departments, regions, communes.drop("region"))
 
 
 def lookups(t: Tables) -> silver.Lookups:
     codes = ["75", "69", "13", "93", "01"]
+    incomes, _ = silver.hinted(silver.type_incomes(raw_incomes(t), codes), ["code_commune"])
+    communes, _ = silver.hinted(silver.flatten_snapshot(raw_snapshot(t)), ["code_commune_insee"])
     return silver.Lookups(
-        silver.type_addresses(raw_addresses(t)),
-        silver.type_energy(raw_energy(t)),
-        silver.type_incomes(raw_incomes(t), codes),
-        silver.flatten_snapshot(raw_snapshot(t)),
+        silver.type_addresses(raw_addresses(t)), silver.type_energy(raw_energy(t)), incomes, communes
     )
 
 
@@ -210,13 +210,14 @@ incomes AS (
     CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS filosofi_revenu_median,
     0.25::DOUBLE AS filosofi_gini_index, CAST(NULL AS DOUBLE) AS filosofi_s80_s20_ratio
   FROM customer WHERE c_nationkey < 23 GROUP BY c_nationkey),
-communes AS (
+parents AS (
   SELECT {PARENT.format(n="n_nationkey")} AS g1, concat('C', {PARENT.format(n="n_nationkey")}) AS geo_commune_nom,
     CAST(max(n_nationkey) AS BIGINT) AS geo_commune_population,
     CASE WHEN min(n_nationkey) < 20 THEN concat('E', min(n_nationkey)) END AS geo_epci_nom,
     min(n_nationkey)::DOUBLE AS geo_centre_longitude, max(n_nationkey)::DOUBLE AS geo_centre_latitude,
-    (SELECT r_name FROM region WHERE r_regionkey = 0) AS geo_region_nom
+    min(min(n_regionkey)) OVER (PARTITION BY substr(g1, 1, 2)) AS region_key
   FROM nation GROUP BY 1),
+communes AS (SELECT p.*, r_name AS geo_region_nom FROM parents p LEFT JOIN region ON r_regionkey = region_key),
 silver AS (
   SELECT {", ".join(FILLED)} FROM sales
   LEFT JOIN addresses ON adresse_numero = k1 AND adresse_nom_voie = k2 AND code_postal = k3 AND code_commune = k4
