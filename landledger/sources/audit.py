@@ -8,6 +8,7 @@ import json
 import shutil
 import zipfile
 import zlib
+from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -94,13 +95,29 @@ def audit_contents(files: DataFrame) -> DataFrame:
     return prepared.mapInArrow(verdicts, AUDIT_SCHEMA)
 
 
+def _same_path(column: str):
+    """Path with one slash after the scheme, however Spark writes it."""
+    return F.regexp_replace(column, "^([A-Za-z0-9]+):/+", "$1:/")
+
+
 def audit_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """``(path, size, is_valid, reason, sha256)`` for every file under ``path``.
 
     gzip and zip archives are read to their end, JSON documents are parsed,
-    other files only have to be non-empty.
+    other files only have to be non-empty. Spark packs files into tasks by
+    size, so the contents of one task stay near
+    ``spark.sql.files.maxPartitionBytes`` (or are a single file).
+
+    File scans leave out empty files. They are found as the listed names that
+    the scan lacks; the listing is the one Spark has made for the scan, and the
+    comparison reads no content.
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return audit_contents(reader.load(path))
+    files = reader.load(path)
+    names = spark.createDataFrame([(unquote(name),) for name in files.inputFiles()], "path string")
+    listed = names.select("path", _same_path("path").alias("_key"))
+    empty = listed.join(files.select(_same_path("path").alias("_key")), "_key", "left_anti")
+    no_content = empty.select("path", F.lit(b"").alias("content"))
+    return audit_contents(files.select("path", "content")).unionByName(audit_contents(no_content))
