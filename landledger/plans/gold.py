@@ -19,21 +19,31 @@ def price_by_department(silver: DataFrame) -> DataFrame:
     return rollup.price_rollup(silver, "code_departement", m.PRICE_COLUMNS)
 
 
-def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
-    """Both tables from one pass over the sales.
-
-    Only the finished statistics are kept between the two tables, a few rows
-    per area and quarter.
-    """
-    both = rollup.price_rollups(silver, m.PRICE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+def split_rollups(both: DataFrame) -> dict[str, DataFrame]:
+    """One table per area column from :func:`landledger.operators.rollup.price_rollups`."""
+    areas = m.PRICE_COLUMNS.areas
     return {
-        area: both.filter(F.col("rollup") == area).drop("rollup", *[a for a in m.PRICE_COLUMNS.areas if a != area])
-        for area in m.PRICE_COLUMNS.areas
+        area: both.filter(F.col("rollup") == area).drop("rollup", *[a for a in areas if a != area])
+        for area in areas
     }
 
 
+def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
+    """Both tables, each a view on one pass over the sales. Lazy."""
+    return split_rollups(rollup.price_rollups(silver, m.PRICE_COLUMNS))
+
+
 def run_gold(spark: SparkSession, silver_path: str, commune_path: str, department_path: str) -> None:
-    """Rebuild both tables in full."""
-    tables = build_gold(sources.scan_table(spark, silver_path))
-    sinks.overwrite(tables["code_commune"], commune_path)
-    sinks.overwrite(tables["code_departement"], department_path)
+    """Rebuild both tables in full from one pass.
+
+    Only the finished statistics are kept between the two writes, a few rows
+    per area and quarter.
+    """
+    silver = sources.scan_table(spark, silver_path)
+    both = rollup.price_rollups(silver, m.PRICE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        tables = split_rollups(both)
+        sinks.overwrite(tables["code_commune"], commune_path)
+        sinks.overwrite(tables["code_departement"], department_path)
+    finally:
+        both.unpersist()

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landledger.operators import nested, quality
-from landledger.plans import gold, silver
+from landledger.plans import gold, reports, silver
 from landledger.plans import property_model as m
 from landledger.showcase.registry import Tables, comma, query, shown_means
 
@@ -273,6 +273,36 @@ def geocoding_input(t):
     return silver.geocoding_input(raw_sales(t))
 
 
+@query(
+    "report_price_trend",
+    f"SELECT code_departement, quarter, median_price_per_sqm, avg_price_per_sqm FROM ({_gold('code_departement')})",
+)
+def report_price_trend(t):
+    return shown_means(reports.price_trend(gold.price_by_department(sales_table(t)), "code_departement"))
+
+
+@query(
+    "report_transaction_volume",
+    f"""SELECT code_departement, quarter, CAST(sum(nb_transactions) AS BIGINT) AS nb_transactions,
+      grouping(code_departement) = 1 AS is_total FROM ({_gold('code_departement')})
+    GROUP BY GROUPING SETS ((code_departement, quarter), (quarter))""",
+)
+def report_transaction_volume(t):
+    return reports.transaction_volume(gold.price_by_department(sales_table(t)), "code_departement")
+
+
+@query(
+    "report_price_by_energy_label",
+    f"""WITH {SALES} SELECT dpe_etiquette_dpe, count(*) AS nb_lines,
+      quantile_disc(valeur_fonciere / surface_reelle_bati, 0.5) AS median_price_per_sqm,
+      round(avg(valeur_fonciere / surface_reelle_bati) + 1e-7, 4) AS avg_price_per_sqm
+    FROM silver WHERE nature_mutation = 'Vente' AND surface_reelle_bati > 0 AND valeur_fonciere > 0
+    GROUP BY dpe_etiquette_dpe""",
+)
+def report_price_by_energy_label(t):
+    return shown_means(reports.price_by_energy_label(sales_table(t), accuracy=100_000))
+
+
 # The rules in the words of SQL, one counting expression each.
 VIOLATIONS = {
     "1.1": "count(*) FILTER (WHERE valeur_fonciere IS NULL)",
