@@ -74,6 +74,7 @@ def lookup_join(
     null_safe: bool = False,
     spread_nulls: bool = True,
     hot_share: float | None = None,
+    hot: DataFrame | None = None,
     salts: int = 64,
 ) -> DataFrame:
     """Left outer equi-join that adds the columns of ``right`` and drops its keys.
@@ -86,8 +87,12 @@ def lookup_join(
     would all land in one shuffle partition, so they are spread by a hash of
     the row. ``hot_share`` does the same for keys that hold at least that share
     of the left side: their rows are spread over ``salts`` partitions and only
-    the matching right rows are repeated that often. Without it AQE splits
-    skewed partitions at run time.
+    the matching right rows are repeated that often. ``hot`` passes such keys
+    when they are known already (:func:`hot_keys`, columns in key order), which
+    saves reading the left side twice. Without either AQE splits skewed
+    partitions at run time. Salts depend on the row alone, so that a task that
+    is run again sends each row the same way; copies of one row share a salt
+    and are left to AQE, or dropped beforehand.
 
     No side is broadcast here: Spark does so by its own size estimate, and
     :func:`broadcast_within` adds the hint for a measured side.
@@ -112,8 +117,10 @@ def lookup_join(
         match = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(lk, rk, strict=True)]
     else:
         match = [F.col(a) == F.col(b) for a, b in zip(lk, rk, strict=True)]
-        if spread_nulls or hot_share:
-            lhs, rhs = _salted(lhs, rhs, lk, rk, hashable_columns(left), hot_share, salts)
+        if hot is None and hot_share:
+            hot = hot_keys(lhs, lk, hot_share)
+        if spread_nulls or hot is not None:
+            lhs, rhs = _salted(lhs, rhs, lk, rk, hashable_columns(left), hot, salts)
             match.append(F.col("_ls") == F.col("_rs"))
 
     joined = lhs.join(rhs, reduce(Column.__and__, match), "left").drop(*lk, *rk, "_ls", "_rs")
@@ -122,22 +129,22 @@ def lookup_join(
     return joined
 
 
-def _salted(lhs, rhs, lk, rk, row_columns, hot_share, salts):
+def _salted(lhs, rhs, lk, rk, row_columns, hot, salts):
     """Add a salt to both sides: spread NULL-key rows and, if asked, hot keys.
 
     The usual right salt is 0, written as ``hash % 1``: Catalyst would fold a
     literal into a filter on the left and drop it from the shuffle key.
     """
-    row_hash = "xxhash64({})".format(", ".join(f"`{c}`" for c in row_columns))
+    row_hash = "xxhash64({})".format(", ".join([*lk, *[f"`{c}`" for c in row_columns]]))
     any_null = " OR ".join(f"{a} IS NULL" for a in lk)
     left_salt = F.expr(f"pmod({row_hash}, {NULL_SPREAD}L)")
     zero = F.expr("pmod(xxhash64({}), 1L)".format(", ".join(rk)))
-    if not hot_share:
+    if hot is None:
         return (
             lhs.withColumn("_ls", F.when(F.expr(any_null), left_salt).otherwise(F.lit(0).cast("bigint"))),
             rhs.withColumn("_rs", zero),
         )
-    hot = hot_keys(lhs, lk, hot_share).withColumn("_hot", F.lit(True))
+    hot = hot.toDF(*lk).withColumn("_hot", F.lit(True))
     spread = F.when(F.expr(any_null), left_salt).when(F.col("_hot"), F.expr(f"pmod({row_hash}, {salts}L)"))
     lhs = lhs.join(F.broadcast(hot), lk, "left").withColumn("_ls", spread.otherwise(F.lit(0).cast("bigint")))
     hot_right = hot.withColumnsRenamed(dict(zip(lk, rk, strict=True)))

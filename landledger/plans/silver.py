@@ -125,7 +125,7 @@ def enrich(
     sides: Lookups,
     null_safe_address: bool = False,
     report: JoinReport | None = None,
-    hot_share: float | None = None,
+    hot_addresses: DataFrame | None = None,
 ) -> DataFrame:
     """Add address, energy, income and administrative columns to typed sales.
 
@@ -146,7 +146,7 @@ def enrich(
         sides.addresses, sides.energy, left_on=["ban_result_id"], right_on=["identifiant_ban"]
     )
     out = lookup.lookup_join(
-        sales, addresses, m.ADDRESS_KEY, null_safe=null_safe_address, hot_share=hot_share
+        sales, addresses, m.ADDRESS_KEY, null_safe=null_safe_address, hot=hot_addresses
     )
     out = watch(out, "ban_result_status", "addresses")
     out = watch(out, "dpe_etiquette_dpe", "energy")
@@ -244,7 +244,7 @@ def build_silver(
     sides: Lookups,
     null_safe_address: bool = False,
     report: JoinReport | None = None,
-    hot_share: float | None = None,
+    hot_addresses: DataFrame | None = None,
 ) -> DataFrame:
     """Raw sales to enriched sales: type, drop exact duplicates, enrich. Lazy."""
     typed = type_sales(sales)
@@ -253,7 +253,7 @@ def build_silver(
     else:
         unique, before, after = dedup.dedup_with_counts(typed, "sales")
         report.observations |= {"typed": before, "deduplicated": after}
-    return enrich(unique, sides, null_safe_address, report, hot_share)
+    return enrich(unique, sides, null_safe_address, report, hot_addresses)
 
 
 def hinted(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, lookup.SideSize]:
@@ -277,14 +277,20 @@ def run_silver(
 
     The enriched rows are written once to the shared scratch folder; the gate
     reads only the rule columns of that table, and the published partitions are
-    copied from it. Nothing is published if a blocking rule fails.
+    copied from it. Nothing is published if a blocking rule fails. With
+    ``hot_share`` the addresses that hold at least that share of the sales are
+    found first and salted in the lookup.
     """
     sides = read_lookups(spark, layout, years, departments, one_per_address)
     sides.incomes, income_size = hinted(materialize(sides.incomes, "incomes"), ["code_commune"])
     sides.communes, commune_size = hinted(materialize(sides.communes, "communes"), ["code_commune_insee"])
     report = JoinReport()
     sales = read_sales(spark, layout, years, departments)
-    staged = materialize(build_silver(sales, sides, null_safe_address, report, hot_share), "silver")
+    hot = None
+    if hot_share:
+        keys = type_sales(sales).select(*m.ADDRESS_KEY)
+        hot = materialize(lookup.hot_keys(keys, m.ADDRESS_KEY, hot_share), "hot")
+    staged = materialize(build_silver(sales, sides, null_safe_address, report, hot), "silver")
     for line in report.lines():
         show(line)
 

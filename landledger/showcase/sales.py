@@ -11,9 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landledger import sinks
 from landledger.operators import nested, quality
 from landledger.plans import gold, reports, silver
 from landledger.plans import property_model as m
+from landledger.session import scratch_path
 from landledger.showcase.registry import Tables, comma, query, shown_means
 
 COMMUNE = """CASE WHEN {n} < 5 THEN concat('7510', {n}) WHEN {n} < 10 THEN concat('6920', {n})
@@ -232,6 +234,69 @@ def silver_table(t):
     return sales_table(t).select(*FILLED)
 
 
+@query(
+    "project_addresses",
+    f"""WITH {SALES} SELECT k1 AS adresse_numero, k2 AS adresse_nom_voie, k3 AS code_postal, k4 AS code_commune,
+      ban_longitude, ban_latitude, ban_result_score, ban_result_label, ban_result_id, ban_result_city,
+      ban_result_status FROM addresses""",
+)
+def project_addresses(t):
+    typed = silver.type_addresses(raw_addresses(t))
+    return typed.drop(*[f"ban_result_{c}" for c in ("housenumber", "street", "postcode", "citycode")])
+
+
+@query(
+    "project_energy",
+    f"""WITH {SALES} SELECT e1 AS identifiant_ban, dpe_numero_dpe, dpe_etiquette_dpe, dpe_etiquette_ges,
+      dpe_surface_habitable_logement, dpe_date_etablissement_dpe FROM energy""",
+)
+def project_energy(t):
+    return silver.type_energy(raw_energy(t)).drop("dpe_type_batiment", "dpe_periode_construction")
+
+
+@query(
+    "project_incomes",
+    f"""WITH {SALES} SELECT {_commune("i1")} AS code_commune, filosofi_nb_menages, filosofi_nb_personnes,
+      filosofi_revenu_median, filosofi_gini_index, filosofi_s80_s20_ratio FROM incomes WHERE i1 < 10""",
+)
+def project_incomes(t):
+    """Two departments of the commune table."""
+    incomes = silver.type_incomes(raw_incomes(t), ["75", "69"])
+    return incomes.drop("filosofi_interdecile_ratio", "filosofi_pct_revenu_social")
+
+
+@query(
+    "flatten_snapshot",
+    f"""WITH {SALES} SELECT g1 AS code_commune_insee, geo_commune_nom, geo_commune_population, geo_epci_nom,
+      geo_centre_longitude, geo_centre_latitude, geo_region_nom FROM communes""",
+)
+def flatten_snapshot(t):
+    return silver.flatten_snapshot(raw_snapshot(t))
+
+
+@query(
+    "silver_partitions",
+    f"""WITH {SALES} SELECT CAST(year(date_mutation) AS INTEGER) AS year, code_departement AS department,
+      count(*) AS sales, count(ban_result_status) AS located, count(geo_commune_nom) AS placed
+    FROM silver GROUP BY ALL""",
+)
+def silver_partitions(t):
+    """All years and departments published by one job, then read back."""
+    path = scratch_path(t.spark, "published")
+    published = sales_table(t).withColumn("year", F.year("date_mutation")).withColumn("department", F.col("code_departement"))
+    sinks.replace_partitions(published, path, ["year", "department"])
+    return (
+        t.spark.read.schema(published.schema)
+        .parquet(path)
+        .groupBy("year", "department")
+        .agg(
+            F.count(F.lit(1)).alias("sales"),
+            F.count("ban_result_status").alias("located"),
+            F.count("geo_commune_nom").alias("placed"),
+        )
+    )
+
+
 def _gold(area: str) -> str:
     return f"""WITH {SALES},
     grain AS (
@@ -359,3 +424,10 @@ def quality_report_by_department(t):
     return quality.quality_report(
         sales_table(t), m.all_rules("code_departement", "'1998'"), by=["code_departement"]
     )
+
+
+@query("gate_failures", f"SELECT * FROM ({report_sql()}) WHERE severity = 'HARD FAIL' AND NOT passed")
+def gate_failures(t):
+    """What the gate would raise on."""
+    report = quality.quality_report(sales_table(t), m.all_rules("code_departement", "'1998'"))
+    return quality.blocking_failures(report)

@@ -2,6 +2,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from landledger import functions as lf
 from landledger.operators import lookup as lk
@@ -98,6 +99,30 @@ def test_null_keys_are_spread_by_the_shuffle(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_salting_evens_out_the_tasks(spark):
+    """A key with a third of the rows, and another third without a key."""
+    left = spark.range(30_000).selectExpr("id", "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN CAST(id AS STRING) END AS k")
+    right = spark.range(0, 30_000, 3).selectExpr("CAST(id + 1 AS STRING) AS key", "id AS v").union(
+        spark.sql("SELECT 'hot', -1L")
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        def largest(**options):
+            out = lk.lookup_join(left, right, left_on=["k"], right_on=["key"], **options)
+            return out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+
+        assert largest(spread_nulls=False) > 10_000
+        assert largest(hot_share=0.1, salts=64) < 4_000
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_hot_keys_are_those_above_the_share(spark):
     df = spark.createDataFrame([("a",)] * 60 + [("b",)] * 30 + [("c",)] * 10 + [(None,)] * 100, "k string")
     assert rows(lk.hot_keys(df, ["k"], 0.3)) == [("a",), ("b",)]
