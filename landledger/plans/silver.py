@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from landledger import sinks, sources
 from landledger.functions import decimal_comma, map_key, parse_date, parse_double, parse_int
@@ -23,9 +24,12 @@ def type_sales(raw: DataFrame, nan_to_null: bool = False) -> DataFrame:
     return projection.cast_fields(raw, m.SALE_STRINGS, m.SALE_INTS, m.SALE_DOUBLES, m.SALE_DATES, nan_to_null)
 
 
-def type_addresses(raw: DataFrame, one_per_address: bool = False) -> DataFrame:
+def type_addresses(raw: DataFrame, one_per_address: bool = False, scope: Sequence[str] = ()) -> DataFrame:
     """Geocoding results under their key, prefixed.
 
+    ``scope`` names columns of ``raw`` that a sale must share to see a row, such
+    as the year and department whose addresses were geocoded together.
+
     Addresses are distinct as text but may coincide once typed (``4`` and
     ``0004``). ``one_per_address`` keeps the best-scored of them; otherwise the
     lookup check of the run reports them.
@@ -34,12 +38,14 @@ def type_addresses(raw: DataFrame, one_per_address: bool = False) -> DataFrame:
     outputs |= {c: c for c in m.ADDRESS_KEY[1:]}
     outputs |= {f"ban_{c}": parse_double(c) for c in ("longitude", "latitude", "result_score")}
     outputs |= {f"ban_result_{c}": f"result_{c}" for c in m.ADDRESS_TEXT_RESULTS}
-    typed = projection.project(raw, outputs)
-    return dedup.latest_per_key(typed, m.ADDRESS_KEY, ["ban_result_score"]) if one_per_address else typed
+    typed = projection.project(raw, outputs | {c: c for c in scope})
+    if not one_per_address:
+        return typed
+    return dedup.latest_per_key(typed, [*m.ADDRESS_KEY, *scope], ["ban_result_score"])
 
 
-def type_energy(raw: DataFrame) -> DataFrame:
-    """Newest diagnostic per address identifier, prefixed.
+def type_energy(raw: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Newest diagnostic per address identifier (and ``scope``), prefixed.
 
     Records without an identifier can match no sale and are dropped before
     the ranking.
@@ -52,23 +58,29 @@ def type_energy(raw: DataFrame) -> DataFrame:
     outputs |= {f"dpe_{c}": c for c in prefixed}
     outputs["dpe_date_etablissement_dpe"] = parse_date("date_etablissement_dpe")
     return dedup.latest_per_key(
-        projection.project(raw, outputs),
-        ["identifiant_ban"],
+        projection.project(raw, outputs | {c: c for c in scope}),
+        ["identifiant_ban", *scope],
         ["dpe_date_etablissement_dpe", "dpe_numero_dpe"],
         keep_null_keys=False,
     )
 
 
-def type_incomes(raw: DataFrame, departments: Sequence[str]) -> DataFrame:
-    """Commune incomes of ``departments``; suppressed cells are NULL."""
+def type_incomes(raw: DataFrame, departments: Sequence[str], scope: Sequence[str] = ()) -> DataFrame:
+    """Commune incomes of ``departments``; suppressed cells are NULL.
+
+    With ``scope`` the department that a commune code starts with is added.
+    """
     outputs: dict[str, Column | str] = {"code_commune": m.INCOME_KEY}
     outputs |= {name: parse_int(c) for c, name in m.INCOME_INTS.items()}
     outputs |= {name: decimal_comma(c) for c, name in m.INCOME_DOUBLES.items()}
-    return projection.with_prefix(projection.project(raw, outputs), "code_commune", departments)
+    incomes = projection.with_prefix(projection.project(raw, outputs), "code_commune", departments)
+    longest_first = sorted(departments, key=len, reverse=True)
+    department = F.coalesce(*[F.when(F.col("code_commune").startswith(d), F.lit(d)) for d in longest_first])
+    return incomes.withColumns({c: department for c in scope})
 
 
-def flatten_snapshot(raw: DataFrame) -> DataFrame:
-    """Communes of administrative snapshots with their region."""
+def flatten_snapshot(raw: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Communes of administrative snapshots with their region (and ``scope``)."""
     return nested.flatten(
         raw,
         "communes",
@@ -80,7 +92,7 @@ def flatten_snapshot(raw: DataFrame) -> DataFrame:
             "geo_centre_longitude": nested.array_item("item.centre.coordinates", 0),
             "geo_centre_latitude": nested.array_item("item.centre.coordinates", 1),
         },
-        {"geo_region_nom": "region.nom"},
+        {"geo_region_nom": "region.nom", **{c: c for c in scope}},
     )
 
 
@@ -142,18 +154,32 @@ def enrich(
         watched, report.observations[name] = lookup.observe_matches(df, matched, name)
         return watched
 
-    addresses = lookup.lookup_join(
-        sides.addresses, sides.energy, left_on=["ban_result_id"], right_on=["identifiant_ban"]
-    )
+    def scope(side: DataFrame) -> list[str]:
+        return [c for c in PARTITIONS if c in side.columns]
+
+    def add(left: DataFrame, side: DataFrame, left_key: Column | str, right_key: str) -> DataFrame:
+        """Lookup by one key within the scope of ``side``."""
+        renamed = side.withColumnsRenamed({c: f"_side_{c}" for c in (right_key, *scope(side))})
+        return lookup.lookup_join(
+            left,
+            renamed,
+            left_on=[left_key, *scope(side)],
+            right_on=[f"_side_{c}" for c in (right_key, *scope(side))],
+        )
+
+    addresses = add(sides.addresses, sides.energy, "ban_result_id", "identifiant_ban")
     out = lookup.lookup_join(
-        sales, addresses, m.ADDRESS_KEY, null_safe=null_safe_address, hot=hot_addresses
+        sales,
+        addresses,
+        [*m.ADDRESS_KEY, *scope(addresses)],
+        null_safe=null_safe_address,
+        hot=hot_addresses,
     )
     out = watch(out, "ban_result_status", "addresses")
     out = watch(out, "dpe_etiquette_dpe", "energy")
-    incomes = sides.incomes.withColumnRenamed("code_commune", "_income_commune")
-    out = lookup.lookup_join(out, incomes, left_on=["code_commune"], right_on=["_income_commune"])
+    out = add(out, sides.incomes, "code_commune", "code_commune")
     out = watch(out, "filosofi_revenu_median", "incomes")
-    out = lookup.lookup_join(out, sides.communes, left_on=[parent_commune()], right_on=["code_commune_insee"])
+    out = add(out, sides.communes, parent_commune(), "code_commune_insee")
     return watch(out, "geo_commune_nom", "communes")
 
 
@@ -209,26 +235,27 @@ def read_lookups(
 ) -> Lookups:
     """All lookup sides of the asked partitions, typed.
 
-    Addresses are geocoded per year, so one that is sold in several years is in
-    several files; identical results are kept once.
+    Each row keeps the partition it comes from, so that a run over many
+    partitions gives every sale the rows that a run over its own partition
+    would: an address geocoded for two years has a result for each.
     """
+
+    def paths(dataset: str, heads: dict[str, str], in_years: Sequence[int], suffix: str) -> dict:
+        return {
+            "path": _partition_paths(layout, dataset, heads, in_years, departments, suffix),
+            "partitions": PARTITIONS if in_years else PARTITIONS[1:],
+            "base_path": sources.object_path(layout.root, dataset, heads),
+        }
+
+    by_department = PARTITIONS[1:]
     addresses = sources.scan_csv(
-        spark,
-        _partition_paths(layout, m.ADDRESSES, {"publication": layout.publication}, years, departments, ".csv"),
-        m.ADDRESS_COLUMNS,
+        spark, columns=m.ADDRESS_COLUMNS, **paths(m.ADDRESSES, {"publication": layout.publication}, years, ".csv")
     )
-    typed_addresses = type_addresses(addresses, one_per_address)
-    if len(years) > 1 and not one_per_address:
-        typed_addresses = dedup.drop_exact_duplicates(typed_addresses)
     energy = sources.scan_jsonl(
-        spark,
-        _partition_paths(layout, m.ENERGY, {"extraction_date": layout.energy_date}, (), departments, ".jsonl"),
-        m.ENERGY_SCHEMA,
+        spark, schema=m.ENERGY_SCHEMA, **paths(m.ENERGY, {"extraction_date": layout.energy_date}, (), ".jsonl")
     )
     snapshots = sources.scan_json_document(
-        spark,
-        _partition_paths(layout, m.SNAPSHOTS, {"extraction_date": layout.snapshot_date}, (), departments, ".json"),
-        m.SNAPSHOT_SCHEMA,
+        spark, schema=m.SNAPSHOT_SCHEMA, **paths(m.SNAPSHOTS, {"extraction_date": layout.snapshot_date}, (), ".json")
     )
     incomes = sources.scan_zip_csv(
         spark,
@@ -236,7 +263,12 @@ def read_lookups(
         m.INCOME_MEMBER,
         [m.INCOME_KEY, *m.INCOME_INTS, *m.INCOME_DOUBLES],
     )
-    return Lookups(typed_addresses, type_energy(energy), type_incomes(incomes, departments), flatten_snapshot(snapshots))
+    return Lookups(
+        type_addresses(addresses, one_per_address, PARTITIONS),
+        type_energy(energy, by_department),
+        type_incomes(incomes, departments, by_department),
+        flatten_snapshot(snapshots, by_department),
+    )
 
 
 def build_silver(
@@ -282,14 +314,15 @@ def run_silver(
     found first and salted in the lookup.
     """
     sides = read_lookups(spark, layout, years, departments, one_per_address)
-    sides.incomes, income_size = hinted(materialize(sides.incomes, "incomes"), ["code_commune"])
-    sides.communes, commune_size = hinted(materialize(sides.communes, "communes"), ["code_commune_insee"])
+    sides.incomes, income_size = hinted(materialize(sides.incomes, "incomes"), ["code_commune", "department"])
+    sides.communes, commune_size = hinted(
+        materialize(sides.communes, "communes"), ["code_commune_insee", "department"]
+    )
     report = JoinReport()
     sales = read_sales(spark, layout, years, departments)
     hot = None
     if hot_share:
-        keys = type_sales(sales).select(*m.ADDRESS_KEY)
-        hot = materialize(lookup.hot_keys(keys, m.ADDRESS_KEY, hot_share), "hot")
+        hot = materialize(lookup.hot_keys(type_sales(sales), [*m.ADDRESS_KEY, *PARTITIONS], hot_share), "hot")
     staged = materialize(build_silver(sales, sides, null_safe_address, report, hot), "silver")
     for line in report.lines():
         show(line)
@@ -303,7 +336,7 @@ def run_silver(
 
 def _conservation(sales, staged, sides, income_size, commune_size):
     """Rule 4.2. Lookups with unique keys prove it; otherwise rows are counted."""
-    unique = quality.unique_lookup(sides.addresses, m.ADDRESS_KEY, "addresses").first()
+    unique = quality.unique_lookup(sides.addresses, [*m.ADDRESS_KEY, *PARTITIONS], "addresses").first()
     if unique["passed"] and income_size.surplus == 0 and commune_size.surplus == 0:
         return [quality.proven_conservation()]
     before = dedup.drop_exact_duplicates(type_sales(sales))

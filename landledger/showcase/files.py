@@ -47,7 +47,11 @@ def csv_scan_partitioned(t):
     return typed.withColumn("o_orderkey", F.col("o_orderkey").try_cast("bigint"))
 
 
-@query("csv_scan_plain", "SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS nation FROM supplier")
+@query(
+    "csv_scan_plain",
+    """SELECT CAST(s_suppkey AS VARCHAR) AS s_suppkey, s_name, lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS nation
+    FROM supplier""",
+)
 def csv_scan_plain(t):
     path = scratch_path(t.spark, "csv")
     raw = t.supplier.select("s_suppkey", "s_name", F.lpad(F.col("s_nationkey").cast("string"), 5, "0").alias("nation"))

@@ -8,8 +8,9 @@ import pytest
 
 from landledger import __main__ as cli
 from landledger.operators.quality import QualityGateError
-from landledger.plans import gold, silver
+from landledger.plans import silver
 from landledger.plans import property_model as m
+from landledger.session import materialize
 from tests.conftest import day
 
 PUBLICATION, ENERGY_DATE, SNAPSHOT_DATE = "2026-04", "2026-09-17", "2026-09-18"
@@ -85,9 +86,9 @@ class Raw:
         target.parent.mkdir(parents=True, exist_ok=True)
         target.write_bytes(content)
 
-    def write(self):
+    def write(self, year=2024):
         for d in self.sales:
-            place = f"publication={PUBLICATION}/year=2024/department={d}/{d}.csv"
+            place = f"publication={PUBLICATION}/year={year}/department={d}/{d}.csv"
             self.put(f"dvf/{place}.gz", gzip.compress(csv_text(m.SALE_COLUMNS, self.sales[d]).encode()))
             self.put(f"ban/{place}", csv_text(m.ADDRESS_COLUMNS, self.addresses[d]).encode())
             lines = "".join(json.dumps(r) + "\n" for r in self.energy[d])
@@ -151,6 +152,32 @@ def test_running_again_replaces_only_its_partitions(spark, raw, tmp_path):
     assert counts == {75: 4, 93: 1}
 
 
+def test_one_run_over_two_years_equals_two_runs(spark, raw, tmp_path):
+    """Each year has its own geocoding result for the same address."""
+    raw.sales["75"] = [sale(1, "75", "75101", date_mutation="2023-02-03")]
+    raw.addresses["75"] = [address(1, "75", "75101", result_score="0.6")]
+    raw.write(year=2023)
+    raw.sales["75"] = [sale(1, "75", "75101"), sale(2, "75", "92012")]
+    raw.addresses["75"] = [address(1, "75", "75101", result_score="0.8")]
+    raw.incomes.append({"CODGEO": "92012", "NBMEN21": "1", "NBPERS21": "1", "Q221": "9"})
+    raw.sales["93"][0]["code_commune"] = "93066"
+    raw.write()
+    sides = silver.read_lookups(spark, raw.layout, [2023, 2024], ["75", "93"])
+    sales = silver.read_sales(spark, raw.layout, [2023, 2024], ["75"])
+    together = silver.build_silver(sales, sides)
+    assert {(r["year"], r["id_mutation"]): (r["ban_result_score"], r["filosofi_revenu_median"]) for r in together.collect()} == {
+        ("2023", "2024-75-1"): (0.6, 31234.5), ("2024", "2024-75-1"): (0.8, 31234.5), ("2024", "2024-75-2"): (None, None),
+    }
+    apart = [
+        silver.build_silver(
+            silver.read_sales(spark, raw.layout, [y], ["75"]), silver.read_lookups(spark, raw.layout, [y], ["75"])
+        )
+        for y in (2023, 2024)
+    ]
+    both = apart[0].unionByName(apart[1])
+    assert both.exceptAll(together).isEmpty() and together.exceptAll(both).isEmpty()
+
+
 def test_a_blocking_rule_publishes_nothing(spark, raw, tmp_path):
     raw.sales["93"][0]["nature_mutation"] = "Don"
     raw.write()
@@ -223,8 +250,11 @@ def test_enriching_by_pairs_equals_one_lookup_after_the_other(spark, raw):
 
     sides = silver.read_lookups(spark, raw.layout, [2024], ["75", "93"])
     sales = silver.type_sales(silver.read_sales(spark, raw.layout, [2024], ["75", "93"]))
-    chained = lookup.lookup_join(sales, sides.addresses, m.ADDRESS_KEY)
-    chained = lookup.lookup_join(chained, sides.energy, left_on=["ban_result_id"], right_on=["identifiant_ban"])
+    chained = lookup.lookup_join(sales, sides.addresses, [*m.ADDRESS_KEY, *silver.PARTITIONS])
+    energy = sides.energy.withColumnRenamed("department", "of_department")
+    chained = lookup.lookup_join(
+        chained, energy, left_on=["ban_result_id", "department"], right_on=["identifiant_ban", "of_department"]
+    )
     paired = silver.enrich(sales, sides).select(*chained.columns)
     assert chained.exceptAll(paired).isEmpty() and paired.exceptAll(chained).isEmpty()
 
@@ -232,8 +262,8 @@ def test_enriching_by_pairs_equals_one_lookup_after_the_other(spark, raw):
 def test_commune_lookups_are_broadcast_and_sales_shuffled_twice(spark, raw):
     """One shuffle of the sales for the duplicates, one for the addresses."""
     sides = silver.read_lookups(spark, raw.layout, [2024], ["75", "93"])
-    sides.incomes, _ = silver.hinted(sides.incomes, ["code_commune"])
-    sides.communes, _ = silver.hinted(sides.communes, ["code_commune_insee"])
+    sides.incomes, _ = silver.hinted(materialize(sides.incomes, "incomes"), ["code_commune", "department"])
+    sides.communes, _ = silver.hinted(materialize(sides.communes, "communes"), ["code_commune_insee", "department"])
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = silver.build_silver(silver.read_sales(spark, raw.layout, [2024], ["75", "93"]), sides)
