@@ -29,12 +29,19 @@ def parse_date(col: Column | str) -> Column:
 
 
 def parse_double(col: Column | str) -> Column:
-    return as_column(col).try_cast("double")
+    """Double from text.
+
+    The cast raises and catches an exception for each malformed text, which is
+    slow where marks like ``s`` are common. Text without a digit or an ``n``
+    (every number has a digit, NaN and infinity an ``n``) never reaches it.
+    """
+    c = as_column(col)
+    return F.when(c.rlike("[0-9nN]"), c.try_cast("double"))
 
 
 def decimal_comma(col: Column | str) -> Column:
     """Double written with a decimal comma or a decimal point."""
-    return F.replace(as_column(col), F.lit(","), F.lit(".")).try_cast("double")
+    return parse_double(F.replace(as_column(col), F.lit(","), F.lit(".")))
 
 
 def finite(col: Column | str) -> Column:
@@ -45,4 +52,4 @@ def finite(col: Column | str) -> Column:
 
 def round_score(col: Column | str, digits: int = 4) -> Column:
     """Round numeric text so that jitter in its last digits disappears."""
-    return F.round(as_column(col).try_cast("double"), digits)
+    return F.round(parse_double(col), digits)

@@ -19,7 +19,10 @@ def test_blank_text_is_null_and_other_text_is_kept(spark):
 def test_malformed_text_is_null_for_every_type(spark):
     text = ["12", "4.0", "x", None, " 7 "]
     assert evaluate(spark, text, "string", lf.parse_int("c")) == [12, None, None, None, 7]
-    assert evaluate(spark, ["1.5", "s", ""], "string", lf.parse_double("c")) == [1.5, None, None]
+    numbers = ["1.5", "s", "", "  ", "n/a", "1e3", ".5", "-Infinity", "12d", "-", None]
+    expected = [1.5, None, None, None, None, 1000.0, 0.5, float("-inf"), 12.0, None, None]
+    assert evaluate(spark, numbers, "string", lf.parse_double("c")) == expected
+    assert evaluate(spark, numbers, "string", F.col("c").try_cast("double")) == expected
     dates = ["2024-01-04", "04/01/2024", "2024-02-30"]
     assert evaluate(spark, dates, "string", lf.parse_date("c")) == [day("2024-01-04"), None, None]
 
