@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -63,11 +62,10 @@ def object_store_conf(
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder.
+    """The folder for intermediate tables that driver and executors share.
 
-    ``spark.checkpoint.dir`` wins. Only a local session without one gets a
-    folder of its own; a cluster without one is an error, because a folder on
-    one machine would be lost with that machine.
+    ``spark.checkpoint.dir`` names it. Where that is unset, as in tests, the
+    warehouse holds it: every node of a Spark application must reach that one.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -75,9 +73,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = tempfile.mkdtemp(prefix="landledger-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
