@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from landledger.llm.hamming_index import op1_hamming_index
+from landledger.llm.line_crf import op5_line_crf
 from landledger.llm.mixing import op8_entropy_mix
+from landledger.llm.ngram_join import op2_ngram_join
 from landledger.llm.url_reputation import OP3_SQL, op3_url_reputation
 
 QUERIES = {
+    "op1_hamming_index": op1_hamming_index,
+    "op2_ngram_join": op2_ngram_join,
     "op3_url_reputation": op3_url_reputation,
+    "op5_line_crf": op5_line_crf,
     "op8_entropy_mix": op8_entropy_mix,
 }
 ORACLES = {"op3_url_reputation": OP3_SQL}
