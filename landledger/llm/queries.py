@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from landledger.llm.capture_index import op6_capture_index
+from landledger.llm.edit_matching import op7_edit_matching
 from landledger.llm.hamming_index import op1_hamming_index
 from landledger.llm.line_crf import op5_line_crf
 from landledger.llm.mixing import op8_entropy_mix
@@ -13,6 +15,8 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_url_reputation": op3_url_reputation,
     "op5_line_crf": op5_line_crf,
+    "op6_capture_index": op6_capture_index,
+    "op7_edit_matching": op7_edit_matching,
     "op8_entropy_mix": op8_entropy_mix,
 }
 ORACLES = {"op3_url_reputation": OP3_SQL}
