@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from landledger.llm.block_labeller import op10_block_labeller
 from landledger.llm.capture_index import op6_capture_index
 from landledger.llm.chat_masks import op4_chat_masks
 from landledger.llm.edit_matching import op7_edit_matching
@@ -22,5 +23,6 @@ QUERIES = {
     "op7_edit_matching": op7_edit_matching,
     "op8_entropy_mix": op8_entropy_mix,
     "op9_separator_scan": op9_separator_scan,
+    "op10_block_labeller": op10_block_labeller,
 }
 ORACLES = {"op3_url_reputation": OP3_SQL}
