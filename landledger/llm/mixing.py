@@ -232,11 +232,13 @@ def entropy_mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, cap: i
     )
     offset = F.coalesce(F.when(F.col("large"), F.col("large_offset")).otherwise(F.col("small_offset")), F.lit(0.0))
     copies = F.when(F.col("size") > 0, _copies(offset, cap)).otherwise(1).cast("long")
+    # the document rides in a struct, so that none of its columns meets one of the plan's
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document")
     return (
-        rated(docs.withColumn("size", word_count("text")), plan)
+        rated(docs.select("doc_id", "source", word_count("text").alias("size"), whole), plan)
         .withColumn("copies", copies)
         .withColumn("taken", F.col("copies") * F.col("size"))
-        .select(*docs.columns, *made)
+        .select("document.*", *made)
     )
 
 
