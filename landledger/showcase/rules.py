@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from landledger.operators import quality as q
 from landledger.showcase.registry import query
 
 EVENT_RULES = [
-    q.Rule("e1", "event type is known", q.HARD_FAIL, q.one_of("event_type", ["view", "click", "purchase", "signup"])),
+    q.one_of("e1", "event_type", ["view", "click", "purchase", "signup"], q.HARD_FAIL),
     q.Rule("e2", "value is positive", q.HARD_FAIL, "value <= 0"),
     q.Rule("e3", "value is unusually high", q.WARNING, "value > 300"),
     q.NoDuplicates("e4", "no repeated readings"),
@@ -17,7 +19,7 @@ EVENT_RULES = [
 @query(
     "quality_rules_events",
     """WITH readings AS (SELECT user_id, event_type, round(value, 0) AS value FROM events)
-    SELECT 'e1' AS rule_id, 'event type is known' AS description, 'HARD FAIL' AS severity,
+    SELECT 'e1' AS rule_id, 'event_type: one of 4 known values or nothing' AS description, 'HARD FAIL' AS severity,
       count(*) FILTER (WHERE event_type = 'error') AS violation_count,
       count(*) FILTER (WHERE event_type = 'error') = 0 AS passed FROM readings
     UNION ALL SELECT 'e2', 'value is positive', 'HARD FAIL', count(*) FILTER (WHERE value <= 0),
@@ -42,3 +44,21 @@ def quality_rules_events(t):
 )
 def quality_rules_by_type(t):
     return q.quality_report(t.events, EVENT_RULES[1:3], by=["event_type"])
+
+
+@query(
+    "violating_rows",
+    "SELECT event_id, event_type, value FROM events WHERE event_type = 'error'",
+)
+def violating_rows(t):
+    return q.violating_rows(t.events.select("event_id", "event_type", "value"), EVENT_RULES[0])
+
+
+@query(
+    "violating_values",
+    """SELECT event_type, CAST(user_id % 10 AS BIGINT) AS last_digit, count(*) AS violation_count
+    FROM events WHERE value > 300 GROUP BY ALL""",
+)
+def violating_values(t):
+    digit = F.pmod("user_id", F.lit(10)).cast("bigint").alias("last_digit")
+    return q.violating_values(t.events, EVENT_RULES[2], ["event_type", digit])

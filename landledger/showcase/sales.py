@@ -15,7 +15,7 @@ from landledger import sinks
 from landledger.operators import nested, quality
 from landledger.plans import gold, reports, silver
 from landledger.plans import property_model as m
-from landledger.session import scratch_path
+from landledger.session import materialize, scratch_path
 from landledger.showcase.registry import Tables, comma, query, shown_means
 
 COMMUNE = """CASE WHEN {n} < 5 THEN concat('7510', {n}) WHEN {n} < 10 THEN concat('6920', {n})
@@ -150,8 +150,10 @@ def raw_snapshot(t: Tables) -> DataFrame:
 
 def lookups(t: Tables) -> silver.Lookups:
     codes = ["75", "69", "13", "93", "01"]
-    incomes, _ = silver.hinted(silver.type_incomes(raw_incomes(t), codes), ["code_commune"])
-    communes, _ = silver.hinted(silver.flatten_snapshot(raw_snapshot(t)), ["code_commune_insee"])
+    incomes, _ = silver.hinted(materialize(silver.type_incomes(raw_incomes(t), codes), "incomes"), ["code_commune"])
+    communes, _ = silver.hinted(
+        materialize(silver.flatten_snapshot(raw_snapshot(t)), "communes"), ["code_commune_insee"]
+    )
     return silver.Lookups(
         silver.type_addresses(raw_addresses(t)), silver.type_energy(raw_energy(t)), incomes, communes
     )
@@ -386,7 +388,7 @@ VIOLATIONS = {
     "4.1": "count(*) - count(DISTINCT COLUMNS(*))",
 }
 BLOCKING = {"2.1", "2.2", "2.4", "3.1", "4.1"}
-DESCRIPTIONS = {r.rule_id: r.description for r in m.all_rules("code_departement", "'1998'")[: len(VIOLATIONS)]}
+DESCRIPTIONS = {r.rule_id: r.description for r in m.all_rules("", "")[: len(VIOLATIONS)]}
 
 
 def report_sql(group: str = "") -> str:
@@ -414,20 +416,20 @@ def report_sql(group: str = "") -> str:
     return f"WITH {SALES} " + " UNION ALL ".join(parts)
 
 
+RULES = m.all_rules("code_departement", "'1998'")
+
+
 @query("quality_report", report_sql())
 def quality_report(t):
-    return quality.quality_report(sales_table(t), m.all_rules("code_departement", "'1998'"))
+    return quality.quality_report(materialize(sales_table(t), "sales"), RULES)
 
 
 @query("quality_report_by_department", report_sql("code_departement"))
 def quality_report_by_department(t):
-    return quality.quality_report(
-        sales_table(t), m.all_rules("code_departement", "'1998'"), by=["code_departement"]
-    )
+    return quality.quality_report(materialize(sales_table(t), "sales"), RULES, by=["code_departement"])
 
 
 @query("gate_failures", f"SELECT * FROM ({report_sql()}) WHERE severity = 'HARD FAIL' AND NOT passed")
 def gate_failures(t):
     """What the gate would raise on."""
-    report = quality.quality_report(sales_table(t), m.all_rules("code_departement", "'1998'"))
-    return quality.blocking_failures(report)
+    return quality.blocking_failures(quality.quality_report(materialize(sales_table(t), "sales"), RULES))
