@@ -24,23 +24,34 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--dpe-extraction-date", required=True)
     silver.add_argument("--geo-extraction-date", required=True)
     silver.add_argument("--hot-share", type=float, help="salt addresses with at least this share of the sales")
+    silver.add_argument("--one-per-address", action="store_true", help="keep the best result of addresses that coincide once typed")
+    silver.add_argument("--null-safe-address", action="store_true", help="let missing house numbers match each other")
+    silver.add_argument("--nan-to-null", action="store_true", help="take NaN in numbers as missing")
 
     gold = commands.add_parser("gold", help="sales table to price statistics")
     gold.add_argument("--silver", required=True)
     gold.add_argument("--commune-target", required=True)
     gold.add_argument("--department-target", required=True)
+    for command in (silver, gold):
+        command.add_argument(
+            "--shuffle-gb", type=float, help="gigabytes that the largest shuffle moves; sets the number of its partitions"
+        )
     return top
 
 
 def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
-    spark = session(f"landledger-{args.command}")
+    width = None if args.shuffle_gb is None else int(args.shuffle_gb * 1e9)
+    spark = session(f"landledger-{args.command}", shuffle_bytes=width)
     if args.command == "gold":
         run_gold(spark, args.silver, args.commune_target, args.department_target)
         return 0
     layout = RawLayout(args.root, args.publication, args.dpe_extraction_date, args.geo_extraction_date)
     try:
-        run_silver(spark, layout, args.target, args.year, args.dept, hot_share=args.hot_share)
+        run_silver(
+            spark, layout, args.target, args.year, args.dept,
+            args.one_per_address, args.null_safe_address, args.hot_share, nan_to_null=args.nan_to_null,
+        )
     except QualityGateError as error:
         print(f"nothing published: {error}", file=sys.stderr)
         return 1

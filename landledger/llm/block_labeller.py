@@ -29,9 +29,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landledger.llm.shared import table
+from landledger.llm.shared import hashed_sample, table
 
-MAX_PAGES, MAX_BLOCKS = 300, 150  # bounds of the training sample only
+# Bounds of the training sample only.
+MAX_PAGES, MAX_BLOCKS, SAMPLE_CHARS = 300, 150, 200_000
 PATH_SLOTS, WORD_SLOTS, COUNTS = 96, 32, 6
 WIDTH = PATH_SLOTS + WORD_SLOTS + COUNTS
 HIDDEN = 16
@@ -431,11 +432,10 @@ def extract(pages: list[str | None], net: Network, paths: dict) -> list[str]:
 
 def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Network:
     """Train on the ``max_pages`` pages of least hashed id."""
-    sample = (
-        pages.filter("html IS NOT NULL").select("page_id", "html", F.xxhash64("page_id").alias("h"))
-        .orderBy("h", F.xxhash64("html")).limit(max_pages).select(F.substring("html", 1, 200_000).alias("html"))
-    )
-    return train([leaf_blocks(r.html) for r in sample.collect()])
+    # sampling only: pages are labelled whole
+    known = pages.filter("html IS NOT NULL").select("page_id", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+    sample = hashed_sample(known, "page_id", max_pages).collect()
+    return train([leaf_blocks(html) for html in sorted(r.html for r in sample)])
 
 
 def with_main_text(pages: DataFrame, net: Network) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landledger.llm.components import components
-from landledger.llm.shared import table
+from landledger.llm.shared import hashed_sample, table
 from landledger.session import materialize
 
 # The rotation is fitted on at most this many vectors; every vector is indexed.
@@ -192,13 +192,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     sizes = vectors.filter("embedding IS NOT NULL").groupBy(F.size("embedding").alias("dims")).count()
     common = sizes.filter("dims > 0").orderBy(F.desc("count"), "dims").first()
     dims = common["dims"] if common else 1
-    sampled = (
-        vectors.filter(F.col("vec_id").isNotNull() & (F.size("embedding") == dims))
-        .orderBy(F.xxhash64("vec_id"), "vec_id")
-        .limit(SAMPLE)
-        .select("embedding")
-    )
-    rows = [_usable(v, dims) for v in sampled.toArrow().column(0).cast(pa.list_(pa.float64()))]
+    same_size = vectors.filter(F.col("vec_id").isNotNull() & (F.size("embedding") == dims))
+    sampled = hashed_sample(same_size.select("vec_id", "embedding"), "vec_id", SAMPLE)
+    rows = [_usable(v, dims) for v in sampled.select("embedding").toArrow().column(0).cast(pa.list_(pa.float64()))]
     sample = np.array([r / np.linalg.norm(r) for r in rows if r is not None]).reshape(-1, dims)
     rotation = learn_rotation(sample)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,3 +25,31 @@ def word_count(text: str | Column) -> Column:
 def byte_words(text: str | None) -> list[bytes]:
     """Words of a text in UTF-8 with A-Z lower-cased and nothing else changed."""
     return text.encode("utf-8", "replace").lower().split() if text else []
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Hand long values to Python in batches of this many rows within the block.
+
+    Spark's default of 10,000 is meant for short rows; whole texts of that
+    number are tens of megabytes on each side of the pipe.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def hashed_sample(df: DataFrame, key: str, most: int) -> DataFrame:
+    """At most ``most`` rows, those of least hashed key; deterministic.
+
+    Rows that are unlikely to be among them are left out before the ordering,
+    so that the tasks hand on about twice as many rows as asked for in all.
+    """
+    drawn = df.withColumn("_draw", F.pmod(F.xxhash64(key), F.lit(1 << 40)))
+    total = max(df.count(), 1)
+    likely = drawn.filter(F.col("_draw") <= int((1 << 40) * min(1.0, 2 * most / total + 1000 / total)))
+    return likely.orderBy("_draw", key).limit(most).drop("_draw")

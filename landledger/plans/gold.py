@@ -39,7 +39,7 @@ def run_gold(spark: SparkSession, silver_path: str, commune_path: str, departmen
     Only the finished statistics are kept between the two writes, a few rows
     per area and quarter.
     """
-    silver = sources.scan_table(spark, silver_path)
+    silver = sources.scan_table(spark, silver_path, m.PARTITIONS)
     both = rollup.price_rollups(silver, m.PRICE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tables = split_rollups(both)

@@ -14,7 +14,7 @@ from landledger.operators import dedup, lookup, nested, projection, quality
 from landledger.plans import property_model as m
 from landledger.session import materialize
 
-PARTITIONS = ["year", "department"]
+PARTITIONS = m.PARTITIONS
 
 
 # --- Typing of each source ---------------------------------------------------
@@ -100,9 +100,20 @@ def parent_commune(code: str = "code_commune") -> Column:
     return map_key(code, m.DISTRICT_PREFIXES, m.MERGED_COMMUNES)
 
 
-def geocoding_input(raw_sales: DataFrame) -> DataFrame:
-    """Numbered distinct addresses to send to a geocoder; rows without a street are left out."""
-    return dedup.number_rows(dedup.unique_keys(raw_sales, m.ADDRESS_KEY, ["adresse_nom_voie"]), m.ADDRESS_KEY)
+def geocoding_input(raw_sales: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
+    """Numbered distinct addresses to send to a geocoder; rows without a street are left out.
+
+    With ``scope`` (year and department) each scope has its own addresses,
+    numbered from 0, as each is geocoded on its own. The numbers over all rows
+    are shifted by the first of their scope, one narrow row per scope.
+    """
+    keys = [*scope, *m.ADDRESS_KEY]
+    numbered = dedup.number_rows(dedup.unique_keys(raw_sales, keys, ["adresse_nom_voie"]), keys)
+    if not scope:
+        return numbered
+    numbered = materialize(numbered, "geocoding")
+    firsts = numbered.groupBy(*scope).agg(F.min("id").alias("_first"))
+    return numbered.join(firsts, list(scope)).select((F.col("id") - F.col("_first")).alias("id"), *keys)
 
 
 # --- Enrichment --------------------------------------------------------------
@@ -277,9 +288,10 @@ def build_silver(
     null_safe_address: bool = False,
     report: JoinReport | None = None,
     hot_addresses: DataFrame | None = None,
+    nan_to_null: bool = False,
 ) -> DataFrame:
     """Raw sales to enriched sales: type, drop exact duplicates, enrich. Lazy."""
-    typed = type_sales(sales)
+    typed = type_sales(sales, nan_to_null)
     if report is None:
         unique = dedup.drop_exact_duplicates(typed)
     else:
@@ -304,14 +316,16 @@ def run_silver(
     null_safe_address: bool = False,
     hot_share: float | None = None,
     show=print,
+    nan_to_null: bool = False,
 ) -> list:
     """Build, check and publish the asked partitions in one job chain.
 
     The enriched rows are written once to the shared scratch folder; the gate
     reads only the rule columns of that table, and the published partitions are
-    copied from it. Nothing is published if a blocking rule fails. With
-    ``hot_share`` the addresses that hold at least that share of the sales are
-    found first and salted in the lookup.
+    copied from it. Every asked partition is judged, also one without rows, and
+    nothing is published if a blocking rule fails. With ``hot_share`` the
+    addresses that hold at least that share of the sales are found first and
+    salted in the lookup.
     """
     sides = read_lookups(spark, layout, years, departments, one_per_address)
     sides.incomes, income_size = hinted(materialize(sides.incomes, "incomes"), ["code_commune", "department"])
@@ -323,21 +337,27 @@ def run_silver(
     hot = None
     if hot_share:
         hot = materialize(lookup.hot_keys(type_sales(sales), [*m.ADDRESS_KEY, *PARTITIONS], hot_share), "hot")
-    staged = materialize(build_silver(sales, sides, null_safe_address, report, hot), "silver")
+    staged = materialize(build_silver(sales, sides, null_safe_address, report, hot, nan_to_null), "silver")
     for line in report.lines():
         show(line)
 
-    rules = m.all_rules("department", "year")
-    results = quality.run_gate(staged, rules, PARTITIONS, show)
-    results += quality.enforce(_conservation(sales, staged, sides, income_size, commune_size), show)
-    sinks.replace_partitions(staged, target, PARTITIONS)
+    owned = [(str(y), d) for y in years for d in departments]
+    asked = spark.createDataFrame(owned, ", ".join(f"{c} string" for c in PARTITIONS))
+    results = quality.run_gate(staged, m.all_rules("department", "year"), PARTITIONS, show, asked)
+    matching = (null_safe_address, nan_to_null)
+    results += quality.enforce(_conservation(sales, staged, sides, income_size, commune_size, *matching), show)
+    sinks.replace_partitions(staged, target, PARTITIONS, owned)
     return results
 
 
-def _conservation(sales, staged, sides, income_size, commune_size):
-    """Rule 4.2. Lookups with unique keys prove it; otherwise rows are counted."""
-    unique = quality.unique_lookup(sides.addresses, [*m.ADDRESS_KEY, *PARTITIONS], "addresses").first()
+def _conservation(sales, staged, sides, income_size, commune_size, null_safe, nan_to_null):
+    """Rule 4.2. Lookups with unique keys prove it; otherwise rows are counted.
+
+    NULL address keys count where the join lets them match.
+    """
+    keys = [*m.ADDRESS_KEY, *PARTITIONS]
+    unique = quality.unique_lookup(sides.addresses, keys, "addresses", null_safe).first()
     if unique["passed"] and income_size.surplus == 0 and commune_size.surplus == 0:
         return [quality.proven_conservation()]
-    before = dedup.drop_exact_duplicates(type_sales(sales))
+    before = dedup.drop_exact_duplicates(type_sales(sales, nan_to_null))
     return quality.row_conservation(before, staged).collect()

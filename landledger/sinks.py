@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
-    """Replace exactly the partitions that occur in ``df``, leave the others.
+def replace_partitions(
+    df: DataFrame, path: str, partitions: Sequence[str], owned: Sequence[Sequence[object]] | None = None
+) -> None:
+    """Replace the partitions that occur in ``df``, leave the others.
 
-    Running it again gives the same table. The rebalance hint groups rows by
-    partition for few files, and lets AQE split a partition that is too large
-    for one task. Replacement is per partition, not one transaction.
+    ``owned`` lists partitions (values in the order of ``partitions``) that the
+    run answers for: those without a row in ``df`` are removed, so that rows of
+    an earlier run do not outlive their source. Running it again gives the same
+    table. The rebalance hint groups rows by partition for few files, and lets
+    AQE split a partition that is too large for one task. Replacement is per
+    partition, not one transaction.
     """
     (
         df.hint("rebalance", *partitions)
@@ -22,6 +27,19 @@ def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> N
         .partitionBy(*partitions)
         .parquet(path)
     )
+    if owned is None:
+        return
+    # at most one row per partition of the table
+    present = {tuple(map(str, r)) for r in df.select(*partitions).distinct().collect()}
+    for values in owned:
+        if tuple(map(str, values)) not in present:
+            _delete(df.sparkSession, "/".join([path.rstrip("/"), *[f"{p}={v}" for p, v in zip(partitions, values)]]))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of whatever store the path names, if it exists."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def overwrite(df: DataFrame, path: str) -> None:

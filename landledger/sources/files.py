@@ -83,11 +83,19 @@ def scan_json_document(
     return _base(reader, base_path).json(path)
 
 
-def scan_table(spark: SparkSession, path_or_name: str) -> DataFrame:
-    """A Parquet directory (anything with a slash) or a catalog table."""
-    if "/" in path_or_name:
-        return spark.read.parquet(path_or_name)
-    return spark.table(path_or_name)
+def scan_table(spark: SparkSession, path_or_name: str, partitions: Sequence[str] = ()) -> DataFrame:
+    """A Parquet directory (anything with a slash) or a catalog table.
+
+    ``partitions`` names the columns that are directories of a Parquet path.
+    They are text, as in the raw scans; Spark would turn ``01`` into 1.
+    """
+    if "/" not in path_or_name:
+        return spark.table(path_or_name)
+    scanned = spark.read.parquet(path_or_name)
+    if not partitions:
+        return scanned
+    inside = T.StructType([f for f in scanned.schema.fields if f.name not in partitions])
+    return spark.read.schema(_with_partitions(inside, partitions)).parquet(path_or_name)
 
 
 def jdbc_read_options(

@@ -11,6 +11,7 @@ from landledger.operators.quality import QualityGateError
 from landledger.plans import silver
 from landledger.plans import property_model as m
 from landledger.session import materialize
+from landledger.sources import scan_table
 from tests.conftest import day
 
 PUBLICATION, ENERGY_DATE, SNAPSHOT_DATE = "2026-04", "2026-09-17", "2026-09-18"
@@ -50,8 +51,8 @@ class Raw:
         self.root = root
         self.sales = {
             "75": [sale(1, "75", "75101"), sale(1, "75", "75101"), sale(2, "75", "75102", adresse_numero=""),
-                   sale(3, "75", "75102", valeur_fonciere="94000000", surface_reelle_bati="200"),
-                   sale(3, "75", "75102", valeur_fonciere="94000000", surface_reelle_bati="75", id_parcelle="P3b")],
+                   sale(3, "75", "75102", valeur_fonciere="60000000", surface_reelle_bati="120"),
+                   sale(3, "75", "75102", valeur_fonciere="60000000", surface_reelle_bati="30", id_parcelle="P3b")],
             "93": [sale(1, "93", "93059"), sale(2, "93", "93066", adresse_nom_voie="", surface_reelle_bati="")],
         }
         self.addresses = {
@@ -148,8 +149,29 @@ def test_running_again_replaces_only_its_partitions(spark, raw, tmp_path):
     raw.write()
     for _ in range(2):
         run(spark, raw, target, ["93"])
-    counts = {r["department"]: r["count"] for r in spark.read.parquet(str(target)).groupBy("department").count().collect()}
-    assert counts == {75: 4, 93: 1}
+    table = scan_table(spark, str(target), m.PARTITIONS)
+    counts = {(r["year"], r["department"]): r["count"] for r in table.groupBy("year", "department").count().collect()}
+    assert counts == {("2024", "75"): 4, ("2024", "93"): 1}
+
+
+def test_an_asked_partition_without_rows_fails_the_gate(spark, raw, tmp_path):
+    run(spark, raw, tmp_path / "silver")
+    raw.sales["93"] = []
+    raw.write()
+    with pytest.raises(QualityGateError) as caught:
+        run(spark, raw, tmp_path / "silver")
+    assert {(r["department"], r["rule_id"]) for r in caught.value.failed} == {("93", "5-Filosofi"), ("93", "5-geo")}
+
+
+def test_null_safe_lookup_that_multiplies_rows_fails_rule_4_2(spark, raw, tmp_path):
+    raw.addresses["75"] += [address(2, "75", "75102", adresse_numero="", result_id="x"), address(5, "75", "75102", adresse_numero=" ", result_id="y")]
+    raw.write()
+    run(spark, raw, tmp_path / "plain", ["75"])
+    with pytest.raises(QualityGateError) as caught:
+        run(spark, raw, tmp_path / "safe", ["75"], null_safe_address=True)
+    assert [(r["rule_id"], r["violation_count"]) for r in caught.value.failed] == [("4.2", 1)]
+    run(spark, raw, tmp_path / "one", ["75"], null_safe_address=True, one_per_address=True)
+    assert scan_table(spark, f"{tmp_path}/one").count() == 4
 
 
 def test_one_run_over_two_years_equals_two_runs(spark, raw, tmp_path):
@@ -245,6 +267,12 @@ def test_geocoding_input_numbers_distinct_addresses_with_a_street(spark, raw):
     }
 
 
+def test_geocoding_input_numbers_each_scope_on_its_own(spark, raw):
+    sales = silver.read_sales(spark, raw.layout, [2024], ["75", "93"])
+    got = silver.geocoding_input(sales, m.PARTITIONS).collect()
+    assert sorted((r["department"], r["id"]) for r in got) == [("75", 0), ("75", 1), ("75", 2), ("93", 0)]
+
+
 def test_enriching_by_pairs_equals_one_lookup_after_the_other(spark, raw):
     from landledger.operators import lookup
 

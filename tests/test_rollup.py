@@ -46,12 +46,12 @@ def test_only_ordinary_priced_sales_count(spark):
 
 
 def test_a_sale_of_many_lots_is_one_transaction(spark):
-    lots = [{"valeur_fonciere": 94_000_000.0, "surface_reelle_bati": s} for s in (6.0, 19.0, 250.0)]
+    lots = [{"valeur_fonciere": 52_000_000.0, "surface_reelle_bati": s} for s in (12.0, 28.0, 90.0)]
     for table in (gold.price_by_commune(sales(spark, *lots)), gold.price_by_department(sales(spark, *lots))):
         row = table.first()
         assert row["nb_transactions"] == 1
-        assert row["avg_price_per_sqm"] == pytest.approx(94_000_000 / 275)
-        assert row["avg_surface_reelle_bati"] == 275.0
+        assert row["avg_price_per_sqm"] == pytest.approx(52_000_000 / 130)
+        assert row["avg_surface_reelle_bati"] == 130.0
 
 
 def test_departments_gather_their_communes(spark):

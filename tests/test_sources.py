@@ -138,6 +138,17 @@ def test_replace_partitions_twice_and_leave_the_rest(spark, tmp_path):
         assert rows(spark.read.schema(schema).parquet(path)) == [(1, "2023", "75"), (3, "2024", "92"), (9, "2024", "75")]
 
 
+def test_owned_partitions_without_rows_are_removed(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    schema = "v int, year string, department string"
+    first = spark.createDataFrame([(1, "2023", "01"), (2, "2024", "01"), (3, "2024", "92")], schema)
+    sinks.replace_partitions(first, path, ["year", "department"])
+    again = spark.createDataFrame([(9, "2024", "92")], schema)
+    for _ in range(2):
+        sinks.replace_partitions(again, path, ["year", "department"], owned=[("2024", "01"), ("2024", "92"), ("2031", "01")])
+        assert rows(sources.scan_table(spark, path, ["year", "department"])) == [(1, "2023", "01"), (9, "2024", "92")]
+
+
 def test_overwrite_and_scan_table(spark, tmp_path):
     sinks.overwrite(spark.range(5), f"{tmp_path}/t")
     sinks.overwrite(spark.range(2), f"{tmp_path}/t")
