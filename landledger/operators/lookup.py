@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 from typing import NamedTuple
 
@@ -11,8 +12,10 @@ from pyspark.sql import functions as F
 
 from landledger.functions.parsing import as_column
 from landledger.operators.dedup import hashable_columns
+from landledger.session import materialize
 
-NULL_SPREAD = 256
+# Left rows of a hot key that one shuffle partition takes.
+ROWS_PER_SALT = 1_000_000
 
 
 class SideSize(NamedTuple):
@@ -50,18 +53,25 @@ def broadcast_within(df: DataFrame, size: SideSize, max_bytes: int = 64 << 20, m
     return F.broadcast(df) if size.bytes <= max_bytes and size.rows <= max_rows else df
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """Keys that hold at least ``share`` of the non-NULL-key rows.
+def hot_keys(
+    df: DataFrame, keys: Sequence[str], share: float, count: str | None = None, null_safe: bool = False
+) -> DataFrame:
+    """Keys that hold at least ``share`` of the rows; their row number as ``count``.
 
     By that definition there are at most ``1 / share`` of them, which is the
-    size bound for broadcasting the result.
+    size bound for broadcasting the result. Keys with a NULL part are left out
+    unless ``null_safe``.
     """
+    if not 0 < share <= 1:
+        raise ValueError("share must be above 0 and at most 1")
     keyed = df.select(*keys)
-    for k in keys:
+    for k in () if null_safe else keys:
         keyed = keyed.filter(F.col(k).isNotNull())
     counts = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = keyed.agg((F.count(F.lit(1)) * share).alias("_floor")).scalar()
-    return counts.filter(F.col("_n") >= total).select(*keys)
+    # decimals: a rounded double could miss a key that is exactly at the share
+    floor = keyed.agg((F.count(F.lit(1)) * F.lit(Decimal(str(share)))).alias("_floor")).scalar()
+    hot = counts.filter(F.col("_n") >= floor)
+    return hot.select(*keys, *[F.col("_n").alias(c) for c in [count] if c])
 
 
 def lookup_join(
@@ -75,7 +85,7 @@ def lookup_join(
     spread_nulls: bool = True,
     hot_share: float | None = None,
     hot: DataFrame | None = None,
-    salts: int = 64,
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Left outer equi-join that adds the columns of ``right`` and drops its keys.
 
@@ -84,15 +94,17 @@ def lookup_join(
     output is then the left columns followed by the rest of the right ones.
 
     A NULL key matches nothing unless ``null_safe``. Left rows with a NULL key
-    would all land in one shuffle partition, so they are spread by a hash of
-    the row. ``hot_share`` does the same for keys that hold at least that share
-    of the left side: their rows are spread over ``salts`` partitions and only
-    the matching right rows are repeated that often. ``hot`` passes such keys
-    when they are known already (:func:`hot_keys`, columns in key order), which
-    saves reading the left side twice. Without either AQE splits skewed
-    partitions at run time. Salts depend on the row alone, so that a task that
-    is run again sends each row the same way; copies of one row share a salt
-    and are left to AQE, or dropped beforehand.
+    would all land in one shuffle partition; a hash of the row takes the place
+    of one of their key values (of a text or integer column, else it is a salt),
+    so they are spread over all partitions. ``hot_share`` finds the keys that
+    hold at least that share of the left side, in a job of its own, and gives
+    each as many salts as its rows need at ``rows_per_salt`` each; only the
+    matching right rows are repeated that often. ``hot`` passes such keys when
+    they are known already (:func:`hot_keys` with ``count``: keys in their
+    order, then the number of rows). Without either AQE splits skewed partitions
+    at run time. Salts depend on the row alone, so that a task that is run again
+    sends each row the same way; copies of one row share a salt and are left to
+    AQE, or dropped beforehand.
 
     No side is broadcast here: Spark does so by its own size estimate, and
     :func:`broadcast_within` adds the hint for a measured side.
@@ -113,44 +125,68 @@ def lookup_join(
     lhs = left.select("*", *[k.alias(a) for k, a in zip(left_keys, lk, strict=True)])
     rhs = right.withColumnsRenamed(dict(zip(right_keys, rk, strict=True)))
 
+    row_hash = F.expr("xxhash64({})".format(", ".join([*lk, *[f"`{c}`" for c in hashable_columns(left)]])))
+    if hot is None and hot_share:
+        hot = materialize(hot_keys(lhs, lk, hot_share, "_rows", null_safe), "hot")
+    if hot is not None:
+        lhs, rhs = _salted(lhs, rhs, hot.toDF(*lk, "_rows"), lk, rk, row_hash, rows_per_salt, null_safe)
+    elif spread_nulls and not null_safe:
+        lhs, rhs = _nulls_salted(lhs, rhs, lk, rk, row_hash)
     if null_safe:
         match = [F.col(a).eqNullSafe(F.col(b)) for a, b in zip(lk, rk, strict=True)]
     else:
         match = [F.col(a) == F.col(b) for a, b in zip(lk, rk, strict=True)]
-        if hot is None and hot_share:
-            hot = hot_keys(lhs, lk, hot_share)
-        if spread_nulls or hot is not None:
-            lhs, rhs = _salted(lhs, rhs, lk, rk, hashable_columns(left), hot, salts)
-            match.append(F.col("_ls") == F.col("_rs"))
+    if "_ls" in lhs.columns:
+        match.append(F.col("_ls") == F.col("_rs"))
+    if "_whole" in lhs.columns:
+        match.append(F.col("_whole"))
 
-    joined = lhs.join(rhs, reduce(Column.__and__, match), "left").drop(*lk, *rk, "_ls", "_rs")
+    joined = lhs.join(rhs, reduce(Column.__and__, match), "left").drop(*lk, *rk, "_ls", "_rs", "_whole")
     if on is not None:
         return joined.select(*on, *[c for c in left.columns if c not in on], *payload)
     return joined
 
 
-def _salted(lhs, rhs, lk, rk, row_columns, hot, salts):
-    """Add a salt to both sides: spread NULL-key rows and, if asked, hot keys.
+def _nulls_salted(lhs, rhs, lk, rk, row_hash):
+    """Spread the left rows whose key has a NULL part; they match nothing.
 
-    The usual right salt is 0, written as ``hash % 1``: Catalyst would fold a
-    literal into a filter on the left and drop it from the shuffle key.
+    Where a key is text or an integer the hash stands in for its value, and the
+    join also asks that the key was whole. The shuffle keys stay those of the
+    right side, which need not be shuffled again if it is grouped by them.
     """
-    row_hash = "xxhash64({})".format(", ".join([*lk, *[f"`{c}`" for c in row_columns]]))
-    any_null = " OR ".join(f"{a} IS NULL" for a in lk)
-    left_salt = F.expr(f"pmod({row_hash}, {NULL_SPREAD}L)")
+    any_null = reduce(Column.__or__, [F.col(a).isNull() for a in lk])
+    casts = {"string": row_hash.cast("string"), "bigint": row_hash, "int": F.pmod(row_hash, F.lit(2**31 - 1)).cast("int")}
+    kinds = {a: lhs.schema[a].dataType.simpleString() for a in lk}
+    chosen = next((a for a in lk if kinds[a] in casts), None)
+    if chosen:
+        stand_in = F.when(any_null, casts[kinds[chosen]]).otherwise(F.col(chosen))
+        return lhs.withColumns({"_whole": ~any_null, chosen: stand_in}), rhs
+    # written as hash % 1: Catalyst would fold a literal into a filter on the left
     zero = F.expr("pmod(xxhash64({}), 1L)".format(", ".join(rk)))
-    if hot is None:
-        return (
-            lhs.withColumn("_ls", F.when(F.expr(any_null), left_salt).otherwise(F.lit(0).cast("bigint"))),
-            rhs.withColumn("_rs", zero),
-        )
-    hot = hot.toDF(*lk).withColumn("_hot", F.lit(True))
-    spread = F.when(F.expr(any_null), left_salt).when(F.col("_hot"), F.expr(f"pmod({row_hash}, {salts}L)"))
-    lhs = lhs.join(F.broadcast(hot), lk, "left").withColumn("_ls", spread.otherwise(F.lit(0).cast("bigint")))
-    hot_right = hot.withColumnsRenamed(dict(zip(lk, rk, strict=True)))
-    copies = F.expr(f"sequence(0L, CASE WHEN _hot THEN {salts - 1}L ELSE 0L END)")
-    rhs = rhs.join(F.broadcast(hot_right), rk, "left").withColumn("_rs", F.explode(copies))
-    return lhs.drop("_hot"), rhs.drop("_hot")
+    salt = F.when(any_null, row_hash).otherwise(F.lit(0).cast("bigint"))
+    return lhs.withColumn("_ls", salt), rhs.withColumn("_rs", zero)
+
+
+def _salted(lhs, rhs, hot, lk, rk, row_hash, rows_per_salt, null_safe):
+    """Spread hot keys over their salts and repeat their right rows; NULL keys by the row hash."""
+    salts = F.greatest(F.ceil(F.col("_rows") / rows_per_salt), F.lit(1)).cast("bigint")
+    hot = hot.withColumn("_salts", salts).drop("_rows")
+    # at most 1 / share rows when found here, measured when passed in
+    hot = broadcast_within(hot, measure_side(hot, lk))
+    names = {a: f"_h{i}" for i, a in enumerate(lk)}
+    renamed = hot.withColumnsRenamed(names)
+
+    def same(keys):
+        return reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(h)) for k, h in zip(keys, names.values(), strict=True)])
+
+    any_null = reduce(Column.__or__, [F.col(a).isNull() for a in lk])
+    spread = F.when(F.col("_salts") > 1, F.pmod(row_hash, F.col("_salts"))).otherwise(F.lit(0).cast("bigint"))
+    lhs = lhs.join(renamed, same(lk), "left")
+    salt = spread if null_safe else F.when(any_null, row_hash).otherwise(spread)
+    lhs = lhs.withColumn("_ls", salt).drop("_salts", *names.values())
+    copies = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    rhs = rhs.join(renamed, same(rk), "left").withColumn("_rs", F.explode(copies))
+    return lhs, rhs.drop("_salts", *names.values())
 
 
 def remap_keys(df: DataFrame, column: str, mapping: DataFrame, old: str, new: str, out: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from landledger.session import materialize
+from landledger.functions.parsing import as_column
 
 
 def array_item(array: Column | str, index: int) -> Column:
@@ -44,34 +44,30 @@ def nest(
     child_key: str,
     into: str,
     order_by: Sequence[str],
-    max_items: int = 100_000,
+    slice_by: str | Column | None = None,
+    slice_name: str = "slice",
 ) -> DataFrame:
     """One row per parent with its children as an array of structs.
 
-    The inverse of :func:`flatten`. An array must fit in one task, so a parent
-    with more than ``max_items`` children is written as several rows with the
-    same parent columns and consecutive slices of about that size: flattening
-    gives every child back once, and no group has to fit anywhere whole.
-    A parent without children keeps one row with an empty array.
+    The inverse of :func:`flatten`. A document is one value, so it must fit in
+    one task. Where parents have more children than that, ``slice_by`` (a column
+    or expression of the children) makes it one document per parent and slice,
+    with the slice as a column of its own. A parent without children keeps one
+    row with an empty array, and a NULL slice.
     """
     struct = F.struct(*order_by, *[c for c in children.columns if c not in order_by])
-    # Rows are dealt to slices by their position in a written table: copies of
-    # one row spread too, and a task that is run again deals them the same way.
-    dealt = materialize(children, "nest").withColumn("_row", F.monotonically_increasing_id())
-    counts = dealt.groupBy(child_key).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).alias("_slices"))
-    sliced = dealt.join(counts, child_key).select(
-        F.col(child_key).alias("_key"),
-        F.pmod(F.xxhash64("_row"), F.col("_slices")).alias("_slice"),
-        struct.alias("_child"),
-    )
-    arrays = sliced.groupBy("_key", "_slice").agg(F.sort_array(F.collect_list("_child")).alias("_items"))
+    slices = [] if slice_by is None else [as_column(slice_by).alias("_slice")]
+    keyed = children.select(F.col(child_key).alias("_key"), struct.alias("_child"), *slices)
+    groups = ["_key", *["_slice" for _ in slices]]
+    arrays = keyed.groupBy(*groups).agg(F.sort_array(F.collect_list("_child")).alias("_items"))
     joined = parents.join(arrays, parents[parent_key] == arrays["_key"], "left")
     empty = F.array().cast(arrays.schema["_items"].dataType)
-    return joined.select(parents["*"], F.coalesce("_items", empty).alias(into))
+    shown = [F.col("_slice").alias(slice_name) for _ in slices]
+    return joined.select(parents["*"], *shown, F.coalesce("_items", empty).alias(into))
 
 
-def nest_snapshot(departments: DataFrame, regions: DataFrame, communes: DataFrame, max_items: int = 100_000) -> DataFrame:
-    """Administrative snapshot: ``department``, ``region`` and ``communes`` per row.
+def nest_snapshot(departments: DataFrame, regions: DataFrame, communes: DataFrame) -> DataFrame:
+    """Administrative snapshot: ``department``, ``region`` and ``communes``, one row per department.
 
     ``departments(nom, code, codeRegion)``, ``regions(nom, code)`` and
     ``communes(nom, code, codeDepartement, ...)``; write it with
@@ -84,6 +80,5 @@ def nest_snapshot(departments: DataFrame, regions: DataFrame, communes: DataFram
     )
     region = regions.select(F.struct(*regions.columns).alias("region"), F.col("code").alias("_region"))
     with_region = heads.join(region, "_region", "left").drop("_region")
-    return nest(
-        with_region, communes, "_code", "codeDepartement", "communes", order_by=["code"], max_items=max_items
-    ).select("department", "region", "communes")
+    documents = nest(with_region, communes, "_code", "codeDepartement", "communes", order_by=["code"])
+    return documents.select("department", "region", "communes")

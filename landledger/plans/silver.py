@@ -336,7 +336,9 @@ def run_silver(
     sales = read_sales(spark, layout, years, departments)
     hot = None
     if hot_share:
-        hot = materialize(lookup.hot_keys(type_sales(sales), [*m.ADDRESS_KEY, *PARTITIONS], hot_share), "hot")
+        keys = [*m.ADDRESS_KEY, *PARTITIONS]
+        typed = type_sales(sales, nan_to_null)
+        hot = materialize(lookup.hot_keys(typed, keys, hot_share, "_rows", null_safe_address), "hot")
     staged = materialize(build_silver(sales, sides, null_safe_address, report, hot, nan_to_null), "silver")
     for line in report.lines():
         show(line)

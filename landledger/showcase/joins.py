@@ -116,7 +116,7 @@ def lookup_join_salted(t):
     events = t.events.select(
         "event_id", "user_id", F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind")
     )
-    joined = lookup.lookup_join(events, side, left_on=["kind"], right_on=["event_type"], hot_share=0.05, salts=8)
+    joined = lookup.lookup_join(events, side, left_on=["kind"], right_on=["event_type"], hot_share=0.05, rows_per_salt=100)
     return joined.drop("kind")
 
 
@@ -190,3 +190,20 @@ def row_conservation(t):
     orders = t.orders.select("o_orderkey")
     fanned = lookup.lookup_join(orders, t.lineitem.select("l_orderkey", "l_linenumber"), left_on=["o_orderkey"], right_on=["l_orderkey"])
     return quality.row_conservation(orders, fanned)
+
+
+@query(
+    "lookup_join_salted_null_safe",
+    """WITH latest AS (SELECT CASE WHEN event_type <> 'view' THEN event_type END AS kind, max(event_id) AS last_event
+      FROM events GROUP BY 1)
+    SELECT event_id, last_event FROM events
+    LEFT JOIN latest ON kind IS NOT DISTINCT FROM CASE WHEN event_type <> 'view' THEN event_type END""",
+)
+def lookup_join_salted_null_safe(t):
+    """A NULL key that matches, and is hot like the others."""
+    kind = F.when(F.col("event_type") != "view", F.col("event_type")).alias("kind")
+    side = t.events.select("event_id", kind).groupBy("kind").agg(F.max("event_id").alias("last_event"))
+    joined = lookup.lookup_join(
+        t.events.select("event_id", kind), side, ["kind"], null_safe=True, hot_share=0.05, rows_per_salt=100
+    )
+    return joined.drop("kind")

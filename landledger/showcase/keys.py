@@ -112,16 +112,36 @@ def nest_and_flatten(t):
     )
 
 
+def listed(documents, key):
+    """Documents as text, to compare them whole: child:balance in the array's order."""
+    child = lambda c: F.concat_ws(":", c["c_custkey"], c["c_acctbal"].cast("decimal(18,2)"))
+    return documents.select(*key, F.size("customers").alias("n"), F.array_join(F.transform("customers", child), " ").alias("customers"))
+
+
+CUSTOMER_TEXT = "coalesce(string_agg(c_custkey || ':' || CAST(c_acctbal AS DECIMAL(18,2)), ' ' ORDER BY c_custkey), '') AS customers"
+
+
+@query(
+    "nest_documents",
+    f"""SELECT n_name, CAST(count(c_custkey) AS INTEGER) AS n, {CUSTOMER_TEXT}
+    FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name""",
+)
+def nest_documents(t):
+    """One document per parent, whatever its size."""
+    return listed(nested.nest(t.nation, t.customer, "n_nationkey", "c_nationkey", "customers", ["c_custkey"]), ["n_name"])
+
+
 @query(
     "nest_slices",
-    """SELECT n_name, c_custkey, c_acctbal FROM customer JOIN nation ON c_nationkey = n_nationkey""",
+    f"""SELECT n_name, c_mktsegment AS segment, CAST(count(c_custkey) AS INTEGER) AS n, {CUSTOMER_TEXT}
+    FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment""",
 )
 def nest_slices(t):
-    """Groups far beyond ``max_items``: several documents per parent, no child lost."""
-    documents = nested.nest(t.nation, t.customer, "n_nationkey", "c_nationkey", "customers", ["c_custkey"], max_items=10)
-    return nested.flatten(
-        documents, "customers", {"c_custkey": "c_custkey", "c_acctbal": "c_acctbal"}, {"n_name": "n_name"}
+    """One document per parent and slice key of the caller."""
+    documents = nested.nest(
+        t.nation, t.customer, "n_nationkey", "c_nationkey", "customers", ["c_custkey"], "c_mktsegment", "segment"
     )
+    return listed(documents, ["n_name", "segment"])
 
 
 @query("content_checksum", "SELECT doc_id, sha256(text) AS sha256 FROM documents")

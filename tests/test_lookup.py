@@ -68,7 +68,7 @@ def test_argument_errors(spark):
         lk.lookup_join(left, right.withColumnRenamed("status", "price"), KEY)
 
 
-@pytest.mark.parametrize("options", [{}, {"spread_nulls": False}, {"hot_share": 0.2, "salts": 5}, {"hot_share": 0.9}])
+@pytest.mark.parametrize("options", [{}, {"spread_nulls": False}, {"hot_share": 0.2, "rows_per_salt": 40}, {"hot_share": 0.9}])
 def test_every_strategy_gives_the_same_rows(spark, options):
     """A third of the rows has one key, a third has none."""
     rng = random.Random(5)
@@ -92,9 +92,11 @@ def test_null_keys_are_spread_by_the_shuffle(spark):
     try:
         out = lk.lookup_join(left, right, left_on=["k"], right_on=["key"])
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("_ls") and "SortMergeJoin [_lk0" in plan
-        exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning(_lk0" in line)
-        assert "_ls" in exchange
+        assert "SortMergeJoin [_lk0" in plan and "_ls" not in plan
+        # a right side that is grouped by its key is not shuffled again
+        grouped = right.groupBy("key").agg(F.max("v").alias("v"))
+        plan = lk.lookup_join(left, grouped, left_on=["k"], right_on=["key"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -116,7 +118,7 @@ def test_salting_evens_out_the_tasks(spark):
             return out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
 
         assert largest(spread_nulls=False) > 10_000
-        assert largest(hot_share=0.1, salts=64) < 4_000
+        assert largest(hot_share=0.1, rows_per_salt=200) < 4_000
     finally:
         for key in settings:
             spark.conf.unset(key)
@@ -163,3 +165,21 @@ def test_remap_keys(spark):
     df = spark.createDataFrame([("old",), ("same",), (None,)], "k string")
     mapping = spark.createDataFrame([("old", "new")], "a string, b string")
     assert rows(lk.remap_keys(df, "k", mapping, "a", "b", "parent")) == [("old", "new"), ("same", "same"), (None, None)]
+
+
+@pytest.mark.parametrize("kind", ["int", "bigint", "string", "date", "double"])
+def test_null_keys_match_nothing_whatever_their_type(spark, kind):
+    values = {"date": "DATE '2024-01-01' + CAST(id AS INT)"}.get(kind, f"CAST(id AS {kind})")
+    left = spark.range(60).selectExpr("id", f"IF(id % 3 = 0, NULL, {values}) AS k", "IF(id % 2 = 0, NULL, id) AS j")
+    right = spark.range(60).selectExpr(f"{values} AS k", "id AS j", "id AS v")
+    out = {r["id"]: r["v"] for r in lk.lookup_join(left, right, ["k", "j"]).collect()}
+    assert out == {i: i if i % 3 and i % 2 else None for i in range(60)}
+
+
+def test_hot_null_key_of_a_null_safe_join(spark):
+    left = spark.createDataFrame([(i, None if i % 2 else "a") for i in range(100)], "id int, k string")
+    right = spark.createDataFrame([(None, 1), ("a", 2)], "k string, v int")
+    out = lk.lookup_join(left, right, ["k"], null_safe=True, hot_share=0.3, rows_per_salt=10)
+    assert Counter(r["v"] for r in out.collect()) == {1: 50, 2: 50}
+    with pytest.raises(ValueError, match="share"):
+        lk.hot_keys(left, ["k"], 0)

@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from landledger import sinks, sources
 from landledger.operators import nested
 from landledger.plans import property_model as m
@@ -22,17 +24,19 @@ def test_flatten_carries_parents_and_skips_empty_arrays(spark):
     assert rows(out) == [("a", 1, "R"), ("b", None, "R")]
 
 
-def test_nest_slices_large_groups_without_losing_copies(spark):
+def test_nest_gives_one_document_per_parent_or_slice(spark):
     parents = spark.createDataFrame([("hot",), ("small",), ("none",)], "key string")
     items = [("hot", i % 5) for i in range(100)] + [("small", 1)]  # many equal children
     children = spark.createDataFrame(items, "k string, v int")
-    out = nested.nest(parents, children, "key", "k", "items", ["v"], max_items=10)
-    sizes = [(r["key"], len(r["items"])) for r in out.collect()]
-    assert Counter(k for k, _ in sizes)["hot"] > 5
-    assert max(n for k, n in sizes if k == "hot") < 40
-    assert ("none", 0) in sizes
-    flat = nested.flatten(out, "items", {"k": "k", "v": "v"})
-    assert Counter(tuple(r) for r in flat.collect()) == Counter(items)
+    whole = nested.nest(parents, children, "key", "k", "items", ["v"])
+    assert rows(whole.select("key", F.size("items"))) == [("hot", 100), ("none", 0), ("small", 1)]
+    sliced = nested.nest(parents, children, "key", "k", "items", ["v"], slice_by=F.col("v") % 2)
+    assert rows(sliced.select("key", "slice", F.size("items"))) == [
+        ("hot", 0, 60), ("hot", 1, 40), ("none", None, 0), ("small", 1, 1),
+    ]
+    for out in (whole, sliced):
+        flat = nested.flatten(out, "items", {"k": "k", "v": "v"})
+        assert Counter(tuple(r) for r in flat.collect()) == Counter(items)
 
 
 def test_snapshot_round_trip_through_files(spark, tmp_path):
