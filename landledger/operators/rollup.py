@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from landledger.functions.labels import quarter_label
 from landledger.operators.projection import with_positive, with_ratio
+from landledger.session import materialize
 
 PRICE = "price_per_sqm"
 ACCURACY = 10_000
@@ -105,40 +106,58 @@ def price_rollups(df: DataFrame, cols: PriceColumns, accuracy: int = ACCURACY) -
     return stats.select(level.alias("rollup"), *[c for c in stats.columns if not c.startswith("_g_")])
 
 
-def exact_medians(df: DataFrame, group_by: Sequence[str], column: str) -> DataFrame:
+def exact_medians(df: DataFrame, group_by: Sequence[str], column: str, most: int = 10_000) -> DataFrame:
     """Exact lower median of ``column`` per group, for groups of any size.
 
-    Equal values are counted together first. A monotone bucket number then
-    splits each group into a bounded number of buckets (steps of 0.1 %);
-    running totals over the buckets tell which one holds the median, and only
-    that bucket is ranked. No task sees a whole group. NULL and NaN are left out.
+    Equal values are counted together and written once. Running totals over the
+    buckets of a group tell which one holds the median, and that bucket is split
+    again until it has at most ``most`` distinct values, which are then ranked.
+    The first buckets are steps of 0.1 % in either sign, so that values of all
+    magnitudes are told apart; later ones are even steps between the bucket's
+    least and largest value. Each round is one aggregate over what is left, and
+    a group passes one row per bucket to a task. NULL and NaN are left out.
     """
     value = F.col(column).cast("double")
     usable = df.filter(F.col(column).isNotNull() & ~F.isnan(value))
-    freq = usable.groupBy(*group_by, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-    magnitude = F.floor(F.log1p(F.least(F.abs(F.col("_v").cast("double")), F.lit(1e300))) * 1024)
-    freq = freq.withColumn("_bucket", F.when(F.col("_v") < 0, -magnitude).otherwise(magnitude))
-
-    group = Window.partitionBy(*group_by)
-    to_here = (Window.unboundedPreceding, Window.currentRow)
-    sizes = freq.groupBy(*group_by, "_bucket").agg(F.sum("_n").alias("_size"))
-    rank, upto = F.col("_rank"), F.col("_upto")
-    target = (
-        sizes.withColumn("_upto", F.sum("_size").over(group.orderBy("_bucket").rowsBetween(*to_here)))
-        .withColumn("_rank", F.ceil(F.sum("_size").over(group) / 2))
-        .filter((upto >= rank) & (upto - F.col("_size") < rank))
-        .select(
-            *[F.col(c).alias(f"_t_{c}") for c in group_by],
-            F.col("_bucket").alias("_t_bucket"),
-            (rank - upto + F.col("_size")).alias("_rank_in_bucket"),
-        )
-    )
-    same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in group_by]
-    same.append(F.col("_bucket") == F.col("_t_bucket"))
-    in_bucket = freq.join(target, reduce(Column.__and__, same))
+    left = usable.groupBy(*group_by, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+    left = materialize(left, "values")
+    v = F.col("_v").cast("double")
+    step = F.floor(F.log2(F.least(F.abs(v), F.lit(1.7e308))) * 1024) + F.lit(2_000_000)
+    bucket = F.when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0).cast("bigint"))
+    total = F.sum("_n").over(Window.partitionBy(*group_by))
+    wanted, first = F.ceil(total / 2), True
+    while True:
+        left, largest = _median_bucket(left.withColumn("_bucket", bucket), group_by, wanted, first)
+        if largest <= most:
+            break
+        width = F.col("_high").cast("double") - F.col("_low").cast("double")
+        even = F.floor((v - F.col("_low").cast("double")) / F.nullif(width, F.lit(0.0)) * 1024)
+        bucket, wanted, first = F.coalesce(even, F.lit(0).cast("bigint")), F.col("_rank"), False
+    order = Window.partitionBy(*group_by).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (
-        in_bucket.withColumn("_upto", F.sum("_n").over(group.orderBy("_v").rowsBetween(*to_here)))
-        .filter(upto >= F.col("_rank_in_bucket"))
+        left.withColumn("_upto", F.sum("_n").over(order))
+        .filter("_upto >= _rank")
         .groupBy(*group_by)
         .agg(F.min("_v").alias(f"median_{column}"))
     )
+
+
+def _median_bucket(values: DataFrame, group_by: Sequence[str], wanted: Column, first: bool):
+    """The values of each group's median bucket with the rank wanted in it, and the largest such bucket."""
+    sizes = values.groupBy(*group_by, "_bucket").agg(
+        F.sum("_n").alias("_n"), F.count(F.lit(1)).alias("_values"), F.min("_v").alias("_low"), F.max("_v").alias("_high"),
+        *([] if first else [F.first("_rank").alias("_rank")]),
+    )
+    order = Window.partitionBy(*group_by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = sizes.withColumn("_upto", F.sum("_n").over(order)).withColumn("_wanted", wanted)
+    chosen = materialize(
+        placed.filter((F.col("_upto") >= F.col("_wanted")) & (F.col("_upto") - F.col("_n") < F.col("_wanted"))).select(
+            *[F.col(c).alias(f"_t_{c}") for c in group_by], F.col("_bucket").alias("_t_bucket"), "_low", "_high",
+            "_values", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_rank"),
+        ),
+        "medians",
+    )
+    same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in group_by] + [F.col("_bucket") == F.col("_t_bucket")]
+    kept = values.select(*group_by, "_v", "_n", "_bucket").join(chosen, reduce(Column.__and__, same))
+    largest = chosen.agg(F.max("_values")).first()[0] or 0
+    return materialize(kept.select(*group_by, "_v", "_n", "_low", "_high", "_rank"), "values"), largest

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from landledger.operators import rollup
 from landledger.operators.projection import with_positive, with_ratio
 from landledger.plans import property_model as m
+from landledger.session import materialize
 
 
 def price_trend(gold: DataFrame, area: str) -> DataFrame:
@@ -24,26 +25,24 @@ def transaction_volume(gold: DataFrame, area: str) -> DataFrame:
     )
 
 
-def price_by_energy_label(
-    silver: DataFrame, label: str = "dpe_etiquette_dpe", accuracy: int = rollup.ACCURACY
-) -> DataFrame:
+def price_by_energy_label(silver: DataFrame, label: str = "dpe_etiquette_dpe") -> DataFrame:
     """Price per surface unit by energy label, over the single sale lines.
 
     Lines, not transactions: the label belongs to the building of a line.
-    Lines without a label form a group of their own.
+    Lines without a label form a group of their own. The few groups are large,
+    so their medians are exact ones instead of sketches.
     """
     lines = with_positive(
         silver.select(label, m.PRICE_COLUMNS.category, m.PRICE_COLUMNS.value, m.PRICE_COLUMNS.surface),
         [m.PRICE_COLUMNS.surface, m.PRICE_COLUMNS.value],
         {m.PRICE_COLUMNS.category: m.ORDINARY_SALE},
     )
-    priced = with_ratio(lines, m.PRICE_COLUMNS.value, m.PRICE_COLUMNS.surface, rollup.PRICE)
-    return (
-        priced.groupBy(label)
-        .agg(
-            F.count(F.lit(1)).alias("nb_lines"),
-            F.percentile_approx(rollup.PRICE, 0.5, accuracy).alias(f"median_{rollup.PRICE}"),
-            F.avg(rollup.PRICE).alias(f"avg_{rollup.PRICE}"),
-        )
-        .orderBy(F.asc_nulls_last(label))
+    priced = materialize(
+        with_ratio(lines, m.PRICE_COLUMNS.value, m.PRICE_COLUMNS.surface, rollup.PRICE).select(label, rollup.PRICE), "priced"
+    )
+    means = priced.groupBy(label).agg(F.count(F.lit(1)).alias("nb_lines"), F.avg(rollup.PRICE).alias(f"avg_{rollup.PRICE}"))
+    medians = rollup.exact_medians(priced, [label], rollup.PRICE).withColumnRenamed(label, "_label")
+    joined = means.join(medians, F.col(label).eqNullSafe(F.col("_label")))
+    return joined.select(label, "nb_lines", f"median_{rollup.PRICE}", f"avg_{rollup.PRICE}").orderBy(
+        F.asc_nulls_last(label)
     )

@@ -21,25 +21,20 @@ COLUMNS = rollup.PriceColumns(
 )
 
 
-def sold_orders(t: Tables):
-    """Orders with their place and the surface of their lines.
+def sale_lines(t: Tables):
+    """Order lines with the total, date and place of their order: several lots of one sale.
 
-    Lines are summed per order before they meet the orders: an order with very
-    many lines shuffles as one row per task and cannot make the join uneven.
     The small tables are joined first, so that the last shuffle is by order and
-    the grain aggregate reuses it.
+    the grain aggregate of the operator reuses it.
     """
-    surfaces = projection.with_positive(t.lineitem, ["l_quantity"]).groupBy("l_orderkey").agg(
-        F.sum("l_quantity").alias("surface")
-    )
     places = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     orders = t.orders.join(places, F.col("o_custkey") == F.col("c_custkey"))
-    return surfaces.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.col("l_orderkey").alias("sale_id"),
         F.col("o_orderdate").cast("date").alias("sale_date"),
         F.col("o_orderstatus").alias("category"),
         F.col("o_totalprice").alias("value"),
-        "surface",
+        F.col("l_quantity").alias("surface"),
         F.col("c_nationkey").alias("nation"),
         F.col("n_regionkey").alias("region"),
     )
@@ -80,7 +75,7 @@ round(avg(surface) + 1e-7, 4) AS avg_surface
     f"WITH {PRICED} SELECT nation, quarter, {STATS} FROM priced GROUP BY nation, quarter",
 )
 def gold_by_nation_quarter(t):
-    return shown_means(rollup.price_rollup(sold_orders(t), "nation", COLUMNS))
+    return shown_means(rollup.price_rollup(sale_lines(t), "nation", COLUMNS))
 
 
 @query(
@@ -88,7 +83,7 @@ def gold_by_nation_quarter(t):
     f"WITH {PRICED} SELECT region, quarter, {STATS} FROM priced GROUP BY region, quarter",
 )
 def gold_by_region_quarter(t):
-    return shown_means(rollup.price_rollup(sold_orders(t), "region", COLUMNS))
+    return shown_means(rollup.price_rollup(sale_lines(t), "region", COLUMNS))
 
 
 @query(
@@ -99,7 +94,7 @@ def gold_by_region_quarter(t):
     FROM priced GROUP BY GROUPING SETS ((nation, quarter), (region, quarter))""",
 )
 def gold_rollups_one_pass(t):
-    return shown_means(rollup.price_rollups(sold_orders(t), COLUMNS))
+    return shown_means(rollup.price_rollups(sale_lines(t), COLUMNS))
 
 
 @query(
@@ -107,7 +102,7 @@ def gold_rollups_one_pass(t):
     f"WITH {PRICED} SELECT nation, {STATS} FROM priced GROUP BY nation",
 )
 def price_stats_by_nation(t):
-    priced = rollup.priced_transactions(sold_orders(t), COLUMNS)
+    priced = rollup.priced_transactions(sale_lines(t), COLUMNS)
     return shown_means(rollup.price_stats(priced, ["nation"], COLUMNS))
 
 
@@ -117,7 +112,7 @@ def price_stats_by_nation(t):
     SELECT region, quantile_disc(price_per_sqm, 0.5) AS median_price_per_sqm FROM priced GROUP BY region""",
 )
 def exact_medians(t):
-    return rollup.exact_medians(rollup.priced_transactions(sold_orders(t), COLUMNS), ["region"], rollup.PRICE)
+    return rollup.exact_medians(rollup.priced_transactions(sale_lines(t), COLUMNS), ["region"], rollup.PRICE)
 
 
 @query(
@@ -125,7 +120,7 @@ def exact_medians(t):
     f"WITH {PRICED} SELECT sale_id, nation, region, sale_date, value, surface, price_per_sqm, quarter FROM priced",
 )
 def priced_transactions(t):
-    return rollup.priced_transactions(sold_orders(t), COLUMNS)
+    return rollup.priced_transactions(sale_lines(t), COLUMNS)
 
 
 @query(

@@ -331,13 +331,18 @@ def gold_price_by_department_quarter(t):
 @query(
     "geocoding_input",
     f"""WITH {SALES}, texts AS (
-      SELECT DISTINCT coalesce(CAST(adresse_numero AS VARCHAR), ' ') AS adresse_numero, adresse_nom_voie,
+      SELECT DISTINCT CAST(year(date_mutation) AS INTEGER) AS year, code_departement AS department,
+        coalesce(CAST(adresse_numero AS VARCHAR), ' ') AS adresse_numero, adresse_nom_voie,
         code_postal, code_commune FROM sales WHERE adresse_nom_voie IS NOT NULL)
-    SELECT row_number() OVER (ORDER BY adresse_numero, adresse_nom_voie, code_postal, code_commune) - 1 AS id, *
-    FROM texts""",
+    SELECT row_number() OVER (PARTITION BY year, department
+      ORDER BY adresse_numero, adresse_nom_voie, code_postal, code_commune) - 1 AS id, * FROM texts""",
 )
 def geocoding_input(t):
-    return silver.geocoding_input(raw_sales(t))
+    """Each year and department has its own numbers."""
+    scoped = raw_sales(t).withColumns(
+        {"year": F.expr("year(to_date(date_mutation))"), "department": F.col("code_departement")}
+    )
+    return silver.geocoding_input(scoped, ["year", "department"])
 
 
 @query(
@@ -367,7 +372,7 @@ def report_transaction_volume(t):
     GROUP BY dpe_etiquette_dpe""",
 )
 def report_price_by_energy_label(t):
-    return shown_means(reports.price_by_energy_label(sales_table(t), accuracy=100_000))
+    return shown_means(reports.price_by_energy_label(sales_table(t)))
 
 
 # The rules in the words of SQL, one counting expression each.

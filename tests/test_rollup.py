@@ -107,6 +107,17 @@ def test_exact_medians_against_brute_force(spark, spread):
     assert {r["g"]: r["median_v"] for r in out.collect()} == expected
 
 
+def test_exact_medians_of_tiny_and_crowded_values(spark):
+    rng = random.Random(9)
+    data = [("tiny", rng.random() * 1e-4) for _ in range(2001)] + [("near", 1 + rng.random() * 1e-5) for _ in range(2000)]
+    data += [("far", x) for x in (0.0, 1e-300, 1e300, float("inf"), -1e-300)] + [("same", 7.0)] * 50
+    groups = {}
+    for g, v in data:
+        groups.setdefault(g, []).append(v)
+    out = rollup.exact_medians(spark.createDataFrame(data, "g string, v double"), ["g"], "v", most=3)
+    assert {r["g"]: r["median_v"] for r in out.collect()} == {g: statistics.median_low(v) for g, v in groups.items()}
+
+
 def test_grain_keeps_value_once(spark):
     df = sales(spark, {"surface_reelle_bati": 10.0}, {"surface_reelle_bati": 15.0}, {"id_mutation": "other"})
     grain = rollup.to_transaction_grain(df, m.PRICE_COLUMNS.grain, "valeur_fonciere", "surface_reelle_bati")
