@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from landledger.showcase import ORACLES, QUERIES
 from tools.check_oracles import TABLES, plain
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -22,13 +23,13 @@ def duck():
 
 
 def test_names_agree():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_oracle(spark, duck, name):
-    got_types, got = plain(queries()[name](spark, FOLDER).toArrow())
-    want_types, want = plain(duck.sql(oracle_sql()[name]).to_arrow_table())
+    got_types, got = plain(QUERIES[name](spark, FOLDER).toArrow())
+    want_types, want = plain(duck.sql(ORACLES[name]).to_arrow_table())
     assert got_types == want_types
     assert got == want
 
