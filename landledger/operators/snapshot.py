@@ -32,4 +32,16 @@ def diff_snapshots(incoming: DataFrame, stored: DataFrame, key: Sequence[str], c
 
 def to_load(diff: DataFrame) -> DataFrame:
     """The objects that a load has to transfer."""
-    return diff.filter(F.col("status") != "skipped")
+    return diff.filter(~F.col("status").isin("skipped", "refused"))
+
+
+def audited_diff(audit: DataFrame, stored: DataFrame, checksum: str = "sha256") -> DataFrame:
+    """What loading the audited files over ``stored`` (path, checksum) would do.
+
+    A file that the audit refuses is ``refused`` whatever is stored, with the
+    reason; the others are as in :func:`diff_snapshots`, with an empty reason.
+    """
+    diff = diff_snapshots(audit.select("path", checksum, "is_valid", "reason"), stored, ["path"], checksum)
+    verdicts = audit.select("path", "is_valid", "reason")
+    status = F.when(F.col("is_valid"), F.col("status")).otherwise("refused")
+    return diff.join(verdicts, "path").select("path", status.alias("status"), "reason", "checksum", "stored_checksum")

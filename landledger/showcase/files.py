@@ -8,13 +8,14 @@ from __future__ import annotations
 import io
 import zipfile
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.csv as pc
 from pyspark.sql import functions as F
 
 from landledger import sinks, sources
 from landledger.functions import decimal_comma
-from landledger.operators import nested, projection
+from landledger.operators import nested, projection, snapshot
 from landledger.session import scratch_path
 from landledger.showcase.registry import comma, query
 
@@ -146,6 +147,89 @@ def zip_csv_scan(t):
     )
 
 
+def put_files(files, folder):
+    """Write each row of ``files(path, content)`` as one file; the path may hold folders.
+
+    Written through the store's own interface, from the rows of a small table.
+    """
+    spark = files.sparkSession
+    for row in files.toLocalIterator():
+        target = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{row['path']}")
+        stream = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+        stream.write(bytearray(row["content"]))
+        stream.close()
+
+
+@query(
+    "zip_file_scan",
+    """SELECT CAST(n_nationkey AS VARCHAR) AS key, CASE WHEN n_regionkey <> 1 THEN n_name END AS name,
+      CASE WHEN n_regionkey > 1 THEN CAST(n_regionkey AS VARCHAR) END AS region FROM nation""",
+)
+def zip_file_scan(t):
+    """Zipped files with records that end early or have more fields than the header."""
+    line = F.when(F.col("n_regionkey") == 0, F.concat_ws(";", "n_nationkey", "n_name"))
+    line = line.when(F.col("n_regionkey") == 1, F.concat(F.col("n_nationkey").cast("string"), F.lit(";")))
+    line = line.when(F.col("n_regionkey") == 2, F.concat_ws(";", "n_nationkey", "n_name", "n_regionkey", F.lit("more")))
+    line = line.otherwise(F.concat_ws(";", "n_nationkey", "n_name", "n_regionkey"))
+    texts = t.nation.groupBy("n_regionkey").agg(F.array_join(F.collect_list(line), "\r\n").alias("lines"))
+
+    def pack(batches):
+        for batch in batches:
+            for region, lines in zip(batch["n_regionkey"], batch["lines"]):
+                out = io.BytesIO()
+                with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as archive:
+                    archive.writestr("rows.csv", "key;name;region\r\n" + lines + "\r\n")
+                yield pd.DataFrame({"path": [f"region={region}/rows.zip"], "content": [out.getvalue()]})
+
+    folder = scratch_path(t.spark, "zip")
+    put_files(texts.mapInPandas(pack, "path string, content binary"), folder)
+    return sources.scan_zip_csv(t.spark, f"{folder}/*", "rows.csv", ["key", "name", "region"])
+
+
+AUDITED = """files AS (
+  SELECT n_nationkey AS n, CASE n_regionkey WHEN 0 THEN 'n' || n_nationkey || '.json' WHEN 1 THEN 'n' || n_nationkey || '.csv'
+      WHEN 2 THEN 'n' || n_nationkey || '.txt' WHEN 3 THEN 'n' || n_nationkey || '.gz' ELSE 'n' || n_nationkey || '.zip' END AS path,
+    CASE WHEN n_regionkey = 0 AND n_nationkey % 2 = 0 THEN '{"a": ' || n_nationkey || '}' WHEN n_regionkey = 1 THEN ''
+      ELSE n_name END AS text,
+    CASE WHEN n_regionkey = 1 THEN 'empty file' WHEN n_regionkey = 0 AND n_nationkey % 2 = 1 THEN 'not valid JSON'
+      WHEN n_regionkey = 3 THEN 'not a valid gzip archive' WHEN n_regionkey = 4 THEN 'not a valid zip archive' ELSE '' END AS reason
+  FROM nation)"""
+
+
+def audited_files(t):
+    """One file per nation: JSON documents, empty files, plain texts, and texts that pose as archives."""
+    region, key = F.col("n_regionkey"), F.col("n_nationkey")
+    suffix = F.element_at(F.array(*map(F.lit, (".json", ".csv", ".txt", ".gz", ".zip"))), region + 1)
+    text = F.when((region == 0) & (key % 2 == 0), F.concat(F.lit('{"a": '), key, F.lit("}"))).when(region == 1, "").otherwise(F.col("n_name"))
+    folder = scratch_path(t.spark, "audit")
+    put_files(t.nation.select(F.concat(F.lit("n"), key, suffix).alias("path"), text.cast("binary").alias("content")), folder)
+    audited = sources.audit_files(t.spark, folder)
+    return audited.withColumn("path", F.regexp_extract("path", "[^/]+$", 0))
+
+
+@query(
+    "audit_files",
+    f"""WITH {AUDITED} SELECT path, CAST(length(text) AS BIGINT) AS size, reason = '' AS is_valid, reason,
+      sha256(text) AS sha256 FROM files""",
+)
+def audit_files(t):
+    return audited_files(t)
+
+
+@query(
+    "audited_diff",
+    f"""WITH {AUDITED}, stored AS (SELECT path, CASE WHEN n % 3 = 0 THEN sha256(text) ELSE 'old' END AS old FROM files WHERE n % 4 <> 0)
+    SELECT path, CASE WHEN reason <> '' THEN 'refused' WHEN old IS NULL THEN 'uploaded' WHEN old = sha256(text) THEN 'skipped'
+      ELSE 'changed' END AS status, reason, sha256(text) AS checksum, old AS stored_checksum
+    FROM files LEFT JOIN stored USING (path)""",
+)
+def audited_diff(t):
+    audited = audited_files(t)
+    n = F.regexp_extract("path", "[0-9]+", 0).cast("int")
+    stored = audited.filter(n % 4 != 0).select("path", F.when(n % 3 == 0, F.col("sha256")).otherwise("old").alias("sha256"))
+    return snapshot.audited_diff(audited, stored)
+
+
 @query("table_scan", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F'")
 def table_scan(t):
     scanned = sources.scan_table(t.spark, f"{t.folder}/orders.parquet")

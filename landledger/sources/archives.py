@@ -2,31 +2,40 @@
 
 from __future__ import annotations
 
+import csv
 import io
+import itertools
 import zipfile
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
-import pyarrow.csv as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from landledger.sources.files import text_schema
 
 
+# Records that one output batch holds.
+BATCH = 5_000
+
+
 def _member_batches(content: bytes, member: str, sep: str, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
-    """Stream one member as record batches of text columns, by header name."""
+    """Stream one member as record batches of text columns, by header name.
+
+    As permissive as Spark's own reader: a record that ends early is NULL from
+    there on, surplus fields are dropped, blank lines are skipped.
+    """
+    fields = [(c, pa.string()) for c in columns]
     with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(member) as stream:
-        reader = pc.open_csv(
-            stream,
-            parse_options=pc.ParseOptions(delimiter=sep, newlines_in_values=True),
-            convert_options=pc.ConvertOptions(
-                include_columns=list(columns),
-                column_types={c: pa.string() for c in columns},
-                strings_can_be_null=True,
-                null_values=[""],
-            ),
-        )
-        yield from reader
+        records = csv.reader(io.TextIOWrapper(stream, "utf-8-sig", errors="replace", newline=""), delimiter=sep)
+        header = next(records, [])
+        places = [header.index(c) if c in header else None for c in columns]
+        missing = [c for c, at in zip(columns, places, strict=True) if at is None]
+        if header and missing:
+            raise ValueError(f"{member} has no columns {missing}")
+        while batch := list(itertools.islice(records, BATCH)):
+            rows = [r for r in batch if r]
+            arrays = [pa.array([(r[at] or None) if at < len(r) else None for r in rows], pa.string()) for at in places]
+            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
 
 
 def read_zip_members(archives: DataFrame, member: str, columns: Sequence[str], sep: str = ";") -> DataFrame:
@@ -36,13 +45,11 @@ def read_zip_members(archives: DataFrame, member: str, columns: Sequence[str], s
     archive and one block, never the whole member.
     """
     columns = list(columns)
-    schema = pa.schema([(c, pa.string()) for c in columns])
 
     def parse(batches):
         for batch in batches:
             for content in batch.column(0):
-                for out in _member_batches(content.as_py(), member, sep, columns):
-                    yield out.cast(schema)
+                yield from _member_batches(content.as_py(), member, sep, columns)
 
     return archives.select("content").mapInArrow(parse, text_schema(columns))
 

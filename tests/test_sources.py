@@ -117,6 +117,24 @@ def test_audit_of_a_directory(spark, tmp_path):
     assert sources.audit_files(spark, f"{tmp_path}/raw", "*.zip").count() == 4
 
 
+def test_zip_records_that_end_early_or_late(spark):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as archive:
+        archive.writestr("m.csv", '\ufeffa;b;c\r\n1;2;3\r\n4\r\n\r\n"x;\n""y";;z;more\r\n')
+    archives = spark.createDataFrame([(out.getvalue(),)], "content binary")
+    assert rows(sources.read_zip_members(archives, "m.csv", ["c", "a"])) == rows(
+        spark.createDataFrame([("3", "1"), (None, "4"), ("z", 'x;\n"y')], "c string, a string")
+    )
+
+
+def test_refused_files_are_not_loaded(spark):
+    audit = spark.createDataFrame([("a", "1", True, ""), ("b", "2", False, "empty file"), ("c", "3", True, "")], "path string, sha256 string, is_valid boolean, reason string")
+    stored = spark.createDataFrame([("a", "1"), ("b", "2")], "path string, sha256 string")
+    diff = snapshot.audited_diff(audit, stored)
+    assert {r["path"]: (r["status"], r["reason"]) for r in diff.collect()} == {"a": ("skipped", ""), "b": ("refused", "empty file"), "c": ("uploaded", "")}
+    assert [r["path"] for r in snapshot.to_load(diff).collect()] == ["c"]
+
+
 def test_diff_of_snapshots(spark):
     incoming = spark.createDataFrame([("new", "a"), ("same", "b"), ("other", "c"), ("unsigned", "d")], "key string, sha256 string")
     stored = spark.createDataFrame([("same", "b"), ("other", "x"), ("gone", "y"), ("unsigned", None)], "key string, sha256 string")
