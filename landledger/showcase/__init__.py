@@ -1,6 +1,6 @@
 """Every operator as a query over the test tables, with the SQL that checks it."""
 
-from landledger.showcase import columns, evaluation, files, joins, keys, prices, rules, sales  # noqa: F401  (registration)
+from landledger.showcase import columns, evaluation, files, joins, keys, prices, rules, runs, sales  # noqa: F401  (registration)
 from landledger.showcase.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -299,12 +299,12 @@ def silver_partitions(t):
     )
 
 
-def _gold(area: str) -> str:
-    return f"""WITH {SALES},
+def gold_sql(area: str, tables: str, table: str) -> str:
+    return f"""WITH {tables},
     grain AS (
       SELECT id_mutation, code_commune, code_departement, date_mutation, max(valeur_fonciere) AS valeur_fonciere,
         sum(surface_reelle_bati) AS surface_reelle_bati
-      FROM silver WHERE nature_mutation = 'Vente' AND surface_reelle_bati > 0 AND valeur_fonciere > 0
+      FROM {table} WHERE nature_mutation = 'Vente' AND surface_reelle_bati > 0 AND valeur_fonciere > 0
       GROUP BY ALL),
     priced AS (
       SELECT *, valeur_fonciere / surface_reelle_bati AS price_per_sqm,
@@ -318,6 +318,10 @@ def _gold(area: str) -> str:
     FROM priced GROUP BY {area}, quarter"""
 
 
+def _gold(area: str) -> str:
+    return gold_sql(area, SALES, "silver")
+
+
 @query("gold_price_by_commune_quarter", _gold("code_commune"))
 def gold_price_by_commune_quarter(t):
     return shown_means(gold.price_by_commune(sales_table(t)))
