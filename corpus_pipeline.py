@@ -23,10 +23,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents with similar shingle sets, the one of smallest id.
 
-    Documents without words and documents without an id stay. Rows that repeat
+    Documents are similar from 0.8 on over their five-word shingles. Documents without words and documents without an id stay. Rows that repeat
     an id and its text are one document.
     """
-    grouped = materialize(jaccard_components(docs), "grouped")
+    grouped = materialize(jaccard_components(docs, words=5, percent=80), "grouped")
     gone = grouped.filter("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     again = grouped.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")

@@ -10,7 +10,7 @@ import pytest
 
 from landledger.llm import edit_matching, line_crf, mixing, token_counts
 from landledger.session import scratch_path
-from tests.llm.test_pairs import jaccard_roots
+from tests.llm.test_pairs import jaccard_roots, near_copies, roots, shingles
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -281,3 +281,37 @@ def test_pipeline_stages_take_odd_rows(spark, tmp_path):
     for t in ("benchmark", "labels"):
         os.symlink(f"{folder}/{t}.parquet", f"{folder}/none/{t}.parquet")
     assert corpus_pipeline.run(spark, f"{folder}/none").collect() == []
+
+
+def five_word_roots(texts):
+    """Components at similarity 0.8 on five-word shingles, by comparing all pairs."""
+    sets = {k: shingles(t, 5) for k, t in texts.items()}
+    keys = sorted(sets)
+    near = [
+        (a, b) for i, a in enumerate(keys) for b in keys[i + 1 :]
+        if sets[a] & sets[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])
+    ]
+    return roots(keys, near)
+
+
+def test_pipeline_drops_near_copies_by_the_general_rule(spark):
+    import corpus_pipeline
+
+    words = [f"w{i}" for i in range(50)]
+    texts = near_copies(3)
+    first = len(texts)
+    texts |= {first: " ".join(words), first + 1: " ".join([*words[:25], "other", *words[26:]])}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    root = five_word_roots(texts)
+    assert kept == {k for k in texts if root[k] == k} and first in kept and first + 1 not in kept
+
+
+def test_pipeline_keeps_what_the_general_rule_keeps(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    root = five_word_roots(texts)
+    kept = {r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, SMALL).collect()}
+    assert kept == {k for k in texts if root[k] == k}
