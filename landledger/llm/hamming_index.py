@@ -8,7 +8,9 @@ orthogonal Procrustes problem).
 *Retrieval.* A code is cut into substrings, one table per substring. Vectors
 that agree in a whole substring meet in a bucket of that table. With radius 1
 every substring gives one bucket per left-out bit, so that substrings that
-differ in one bit meet as well.
+differ in one bit meet as well. Wider substrings meet less often, and short codes
+have few of them, so substrings of further rotations are added until a pair at
+the bound is missed with a small, fixed chance at any row count.
 
 *Reranking.* A bucket compares its vectors by cosine in double precision. A pair
 that meets in several buckets is settled in the first of them only. A bucket
@@ -39,6 +41,9 @@ MAX_BITS = 64
 ROUNDS = 50
 # Rows that a bucket should hold on average, and that a chunk may hold at most or so.
 BUCKET_ROWS, CHUNK_ROWS = 200, 1500
+# Chance that a pair at the bound meets in no table, if its bits differ independently
+# of each other. Low bounds would need very many rotations.
+MISSED, MAX_ROTATIONS = 0.07, 12
 
 
 @dataclass
@@ -47,8 +52,8 @@ class Rotation:
     axes: np.ndarray  # dimensions x bits
 
 
-def learn_rotation(sample: np.ndarray, bits: int = MAX_BITS) -> Rotation:
-    """Iterative quantisation of unit vectors (rows). Deterministic."""
+def learn_rotation(sample: np.ndarray, bits: int = MAX_BITS, seed: int = 7) -> Rotation:
+    """Iterative quantisation of unit vectors (rows) from the start that ``seed`` draws. Deterministic."""
     dims = sample.shape[1]
     bits = min(bits, dims)
     if not len(sample):
@@ -58,7 +63,7 @@ def learn_rotation(sample: np.ndarray, bits: int = MAX_BITS) -> Rotation:
     _, vectors = np.linalg.eigh(centred.T @ centred)
     principal = vectors[:, ::-1][:, :bits]
     projected = centred @ principal
-    rotation, _ = np.linalg.qr(np.random.default_rng(7).standard_normal((bits, bits)))
+    rotation, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((bits, bits)))
     for _ in range(ROUNDS):
         codes = np.where(projected @ rotation >= 0, 1.0, -1.0)
         left, _, right = np.linalg.svd(projected.T @ codes)
@@ -66,26 +71,77 @@ def learn_rotation(sample: np.ndarray, bits: int = MAX_BITS) -> Rotation:
     return Rotation(mean, principal @ rotation)
 
 
+def _substring_width(bits: int, rows: int) -> int:
+    """Substrings widen with the logarithm of the row count so that buckets keep their size."""
+    return min(max(8, math.ceil(math.log2(max(rows, 1) / BUCKET_ROWS + 1))), 16, bits)
+
+
+def _left_out(width: int) -> int:
+    """Masks per substring: beyond ten bits it is compared with one bit left out in turn."""
+    return 1 if width <= 10 else width
+
+
 def bucket_masks(bits: int, rows: int) -> list[int]:
-    """The bits that each table compares.
+    """The bits that each table of one rotation compares, substring by substring.
 
-    Substrings widen with the logarithm of the row count so that buckets keep
-    their size; beyond ten bits they are compared with one bit left out.
+    Bits that the division leaves over are in one more substring, which
+    overlaps the one before.
     """
-    width = min(max(8, math.ceil(math.log2(max(rows, 1) / BUCKET_ROWS + 1))), 16, bits)
+    width = _substring_width(bits, rows)
+    starts = list(range(0, bits - width + 1, width))
+    if bits % width:
+        starts.append(bits - width)
     masks = []
-    for start in range(0, max(bits - width, 0) + 1, width):
+    for start in starts:
         whole = ((1 << width) - 1) << start
-        masks += [whole] if width <= 10 else [whole & ~(1 << (start + i)) for i in range(width)]
+        masks += [whole] if _left_out(width) == 1 else [whole & ~(1 << (start + i)) for i in range(width)]
     return masks
 
 
-def coded_rows(vectors: DataFrame, rotation: Rotation) -> DataFrame:
-    """(vec_id, hi, lo, vector, code); all but vec_id NULL for vectors that link with nothing.
+def hamming_tables(bits: int, rows: int, least: float) -> list[tuple[int, int]]:
+    """(rotation, mask) of every table.
+
+    A bit of a pair at the bound differs with the share that the pair's angle
+    has of a half turn. All substrings of the first rotation are used, and as
+    many of further ones as MISSED asks for.
+    """
+    width = _substring_width(bits, rows)
+    masks, step = bucket_masks(bits, rows), _left_out(width)
+    substrings = [masks[k : k + step] for k in range(0, len(masks), step)]
+    same = 1 - math.acos(min(max(least, -1.0), 1.0)) / math.pi
+    missed = 1 - same**width - (step > 1) * width * (1 - same) * same ** (width - 1)
+    needed = math.log(MISSED) / math.log(missed) if 0 < missed < 1 else 1.0
+    found, tables = 0.0, []
+    for k in range(MAX_ROTATIONS * len(substrings)):
+        rotation, at = divmod(k, len(substrings))
+        if rotation and found >= needed:
+            break
+        tables += [(rotation, mask) for mask in substrings[at]]
+        # one that overlaps another counts by its own bits
+        found += 1.0 if (at + 1) * width <= bits else bits % width / width
+    return tables
+
+
+def learn_rotations(sample: np.ndarray, count: int) -> list[Rotation]:
+    return [learn_rotation(sample, seed=7 + k) for k in range(count)]
+
+
+def vector_codes(unit: np.ndarray, rotations: list[Rotation]) -> np.ndarray:
+    """One 64-bit code per unit vector (rows) and rotation."""
+    codes = np.empty((len(unit), len(rotations)), np.int64)
+    for k, rotation in enumerate(rotations):
+        signs = (unit - rotation.mean) @ rotation.axes >= 0
+        places = np.uint64(1) << np.arange(signs.shape[1], dtype=np.uint64)
+        codes[:, k] = (signs * places).sum(1, dtype=np.uint64).view(np.int64)
+    return codes
+
+
+def coded_rows(vectors: DataFrame, rotations: list[Rotation]) -> DataFrame:
+    """(vec_id, hi, lo, vector, code per rotation); all but vec_id NULL for vectors that link with nothing.
 
     ``vector`` holds doubles, ``hi`` and ``lo`` are its digest.
     """
-    dims, bits = rotation.axes.shape
+    dims = len(rotations[0].mean)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -94,8 +150,7 @@ def coded_rows(vectors: DataFrame, rotation: Rotation) -> DataFrame:
                 rows.append(_usable(value, dims))
             found = np.array([r for r in rows if r is not None]).reshape(-1, dims)
             unit = found / np.linalg.norm(found, axis=1, keepdims=True) if len(found) else found
-            signs = (unit - rotation.mean) @ rotation.axes >= 0
-            codes = iter((signs * (np.uint64(1) << np.arange(bits, dtype=np.uint64))).sum(1, dtype=np.uint64).view(np.int64).tolist())
+            codes = iter(vector_codes(unit, rotations).tolist())
             out = []
             for row in rows:
                 if row is None:
@@ -106,12 +161,12 @@ def coded_rows(vectors: DataFrame, rotation: Rotation) -> DataFrame:
                     out.append((d[0], d[1], raw, next(codes)))
             hi, lo, raw, code = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(raw, pa.binary()), pa.array(code, pa.int64())],
+                [ids, pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(raw, pa.binary()), pa.array(code, pa.list_(pa.int64()))],
                 names=["vec_id", "hi", "lo", "vector", "code"],
             )
 
     return vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(
-        encode, "vec_id long, hi long, lo long, vector binary, code long"
+        encode, "vec_id long, hi long, lo long, vector binary, code array<long>"
     )
 
 
@@ -124,7 +179,7 @@ def _usable(value, dims: int) -> np.ndarray | None:
     return row if math.isfinite(norm) and norm > 0 else None
 
 
-def _compare(masks: list[int], least: float):
+def _compare(tables: list[tuple[int, int]], least: float):
     """Function of one pair of chunks of one bucket: (id, links, root) per linked vector."""
 
     def compare(group: pa.Table) -> pa.Table:
@@ -134,7 +189,7 @@ def _compare(masks: list[int], least: float):
         number = group.column("number")[0].as_py()
         ids = group.column("id").to_numpy()
         members = group.column("members").to_numpy()
-        codes = group.column("code").to_numpy()
+        codes = np.array(group.column("code").to_pylist(), np.int64)
         vectors = np.frombuffer(b"".join(group.column("vector").to_pylist()), np.float64).reshape(len(ids), -1)
         norms = np.sqrt((vectors * vectors).sum(1))
         left = np.flatnonzero(own == first)
@@ -155,8 +210,10 @@ def _compare(masks: list[int], least: float):
             a, b = np.nonzero(cosine >= least)
             a, b = some[a], right[b]
             keep = ids[a] < ids[b] if first == second else ids[a] != ids[b]
-            for mask in masks[:number]:
-                keep &= ((codes[a] ^ codes[b]) & np.int64(_signed(mask))) != 0
+            a, b = a[keep], b[keep]
+            keep = np.ones(len(a), bool)
+            for rotation, mask in tables[:number]:
+                keep &= ((codes[a, rotation] ^ codes[b, rotation]) & np.int64(_signed(mask))) != 0
             a, b = a[keep], b[keep]
             np.add.at(links, a, members[b])
             np.add.at(links, b, members[a])
@@ -196,9 +253,11 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     sampled = hashed_sample(same_size.select("vec_id", "embedding"), "vec_id", SAMPLE)
     rows = [_usable(v, dims) for v in sampled.select("embedding").toArrow().column(0).cast(pa.list_(pa.float64()))]
     sample = np.array([r / np.linalg.norm(r) for r in rows if r is not None]).reshape(-1, dims)
-    rotation = learn_rotation(sample)
+    # rows, not classes, as codes come first: copies can only widen substrings
+    tables = hamming_tables(min(MAX_BITS, dims), same_size.count(), least)
+    rotations = learn_rotations(sample, 1 + tables[-1][0])
 
-    coded = materialize(coded_rows(vectors, rotation), "coded")
+    coded = materialize(coded_rows(vectors, rotations), "coded")
     usable = coded.filter("hi IS NOT NULL AND vec_id IS NOT NULL")
     # equal vectors are one row, that of the smallest vec_id
     classes = materialize(
@@ -207,11 +266,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
         ),
         "classes",
     )
-    total = classes.count()
-    masks = bucket_masks(rotation.axes.shape[1], total)
     keys = F.array(*[
-        F.struct(F.lit(k).alias("number"), F.col("code").bitwiseAND(F.lit(_signed(m))).alias("key"))
-        for k, m in enumerate(masks)
+        F.struct(F.lit(k).alias("number"), F.col("code")[r].bitwiseAND(F.lit(_signed(m))).alias("key"))
+        for k, (r, m) in enumerate(tables)
     ])
     placed = classes.select("id", "code", F.explode(keys).alias("at")).select("id", "code", "at.number", "at.key")
     large = materialize(
@@ -227,7 +284,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     dealt = dealt.withColumn("i", F.least("chunk", "partner")).withColumn("j", F.greatest("chunk", "partner"))
     dealt = dealt.select("number", "key", "i", "j", "chunk", "id", "code", "members", "vector")
     found = materialize(
-        dealt.groupBy("number", "key", "i", "j").applyInArrow(_compare(masks, least), "id long, links long, root long"),
+        dealt.groupBy("number", "key", "i", "j").applyInArrow(_compare(tables, least), "id long, links long, root long"),
         "found",
     )
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

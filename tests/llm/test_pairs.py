@@ -166,3 +166,29 @@ def test_rotation_balances_and_keeps_neighbours():
     assert np.allclose(rotation.axes.T @ rotation.axes, np.eye(32), atol=1e-8)
     masks = hamming_index.bucket_masks(64, 10**8)
     assert all(bin(m).count("1") == 15 for m in masks) and len(masks) == 64
+
+
+@pytest.mark.parametrize("dims", [64, 24, 10])
+@pytest.mark.parametrize("least", [0.90, 0.92])
+def test_hamming_recall_at_the_bound_for_every_width(dims, least):
+    rng = np.random.default_rng(dims)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    first = unit(rng.standard_normal((4000, dims)))
+    across = rng.standard_normal(first.shape)
+    across = unit(across - (across * first).sum(1, keepdims=True) * first)
+    second = least * first + math.sqrt(1 - least**2) * across
+    rotations = hamming_index.learn_rotations(first, hamming_index.MAX_ROTATIONS)
+    differ = hamming_index.vector_codes(first, rotations) ^ hamming_index.vector_codes(second, rotations)
+    widths = set()
+    for rows in [1000, *(hamming_index.BUCKET_ROWS * 2**w - hamming_index.BUCKET_ROWS for w in range(9, 17)), 10**9]:
+        tables = hamming_index.hamming_tables(dims, rows, 0.9)
+        widths.add(hamming_index._substring_width(dims, rows))
+        met = np.zeros(len(first), bool)
+        for rotation, mask in tables:
+            met |= (differ[:, rotation] & np.int64(hamming_index._signed(mask))) == 0
+        assert met.mean() >= 0.9, (rows, met.mean())
+        covered = 0
+        for rotation, mask in tables:
+            covered |= mask if rotation == 0 else 0
+        assert covered == (1 << dims) - 1
+    assert widths == set(range(8, min(16, dims) + 1))
