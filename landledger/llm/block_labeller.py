@@ -42,6 +42,15 @@ CELLS = 20_000  # blocks that are labelled at once
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template title textarea iframe object svg math select head".split())
 _OPAQUE = frozenset("script style title textarea iframe noscript".split())
+# What may stand in a head; what ends an unclosed svg or math; what cannot stand in a select.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_PAGE = frozenset(
+    "address article aside blockquote body dl figure footer form h1 h2 h3 h4 h5 h6 header main nav ol p pre section table ul".split()
+)
+_BREAKOUT = _PAGE | frozenset(
+    "b big br center code dd div dt em embed hr i img li listing menu nobr ruby s small span strike strong sub sup tt u var".split()
+)
+_ANY_CONTENT = frozenset("template object foreignobject desc annotation-xml".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
     "span strike strong sub sup time tt u var wbr".split()
@@ -67,12 +76,27 @@ def _node(tag: str, attributes: str) -> str:
     return " ".join([tag, *words])
 
 
+def _hidden_end(stack: list[str], tag: str) -> int | None:
+    """Place of the outermost hidden element that the start of ``tag`` shows to be over."""
+    found = None
+    for k in range(len(stack) - 1, -1, -1):
+        top = stack[k]
+        if top in _ANY_CONTENT:
+            break
+        if top == "head" and tag not in _IN_HEAD or top in ("svg", "math") and tag in _BREAKOUT or top == "select" and tag in _PAGE:
+            found = k
+    return found
+
+
 def leaf_blocks(page: str | None) -> list[tuple[tuple[str, ...], str]]:
     """(path, text) of every leaf block with text, in page order.
 
     Character references are decoded and white space is one space. Scripts,
     styles, comments, titles and other elements that are not shown give no
-    block. Unclosed and stray tags are forgiven; a text without tags is one block.
+    block. Unclosed and stray tags are forgiven: a head ends where text or a tag
+    begins that cannot stand in it, svg, math and select at a tag of the page.
+    An object or template may hold any tag and ends with its end tag or that of
+    an ancestor. A text without tags is one block.
     """
     page = page or ""
     blocks: list[tuple[tuple[str, ...], str]] = []
@@ -92,6 +116,10 @@ def leaf_blocks(page: str | None) -> list[tuple[tuple[str, ...], str]]:
     path = [()]
 
     def add(text: str):
+        nonlocal hidden
+        if hidden and stack[-1] == "head" and text.strip():
+            hidden -= 1
+            del stack[-1], nodes[-1]
         if text and not hidden:
             if not parts:
                 if text.isspace():
@@ -122,6 +150,10 @@ def leaf_blocks(page: str | None) -> list[tuple[tuple[str, ...], str]]:
                     if top == tag:
                         break
             continue
+        over = _hidden_end(stack, tag) if hidden else None
+        if over is not None:
+            hidden -= sum(t in _RAW for t in stack[over:])
+            del stack[over:], nodes[over:]
         attributes = m[3] or m[6] or ""
         if tag in _VOID or attributes.endswith("/"):
             continue

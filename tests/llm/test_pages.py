@@ -167,6 +167,25 @@ def test_leaf_blocks_forgive():
     assert block_labeller.leaf_blocks("<p>x</p>" * 20_000)[-1][1] == "x"
 
 
+@pytest.mark.parametrize(
+    ("page", "texts"),
+    [
+        ("<html><head><title>no</title><meta charset=x><body><article><p>one</p></article>", ["one"]),
+        ("<head><title>no</title><article><p>one<p>two</article>", ["one", "two"]),
+        ("<head><link href=x>one<p>two", ["one", "two"]),
+        ("<head><template><div>no</div></template><script>no</script></head><p>one", ["one"]),
+        ("<body><svg><text>no<p>one</p>", ["one"]),
+        ("<svg><foreignObject><div>no</div></foreignObject></svg><p>one", ["one"]),
+        ("<select><option>no<article>one", ["one"]),
+        ("<div><object>no<p>no</div><p>one", ["one"]),
+    ],
+)
+def test_leaf_blocks_end_unclosed_hidden_elements(page, texts):
+    blocks = block_labeller.leaf_blocks(page)
+    assert [t for _, t in blocks] == texts
+    assert not any("head" in path for path, _ in blocks)
+
+
 def test_gradients_against_differences():
     rng = np.random.default_rng(0)
     net = block_labeller.new_network()
