@@ -45,7 +45,7 @@ def write_sales(lines, root: str, year: int, department: str) -> None:
     keys = {"publication": PUBLICATION, "year": year, "department": department}
     path = sources.object_path(root, m.SALES, keys, f"{department}.csv.gz")
     mine = lines.filter((F.col("_year") == year) & (F.col("code_departement") == department)).drop("_year")
-    mine.coalesce(1).write.mode("overwrite").option("header", True).option("compression", "gzip").csv(path)
+    mine.write.mode("overwrite").option("header", True).option("compression", "gzip").csv(path)
 
 
 def write_layout(t: Tables, root: str) -> silver.RawLayout:
@@ -55,11 +55,11 @@ def write_layout(t: Tables, root: str) -> silver.RawLayout:
             write_sales(lines, root, y, d)
             keys = {"publication": PUBLICATION, "year": y, "department": d}
             mine = addresses.filter(F.substring("code_commune", 1, 2) == d)
-            mine.coalesce(1).write.option("header", True).csv(sources.object_path(root, m.ADDRESSES, keys, f"{d}.csv"))
+            mine.write.option("header", True).csv(sources.object_path(root, m.ADDRESSES, keys, f"{d}.csv"))
         keys = {"extraction_date": EXTRACTED, "department": d}
-        energy.coalesce(1).write.json(sources.object_path(root, m.ENERGY, keys, f"{d}.jsonl"))
+        energy.write.json(sources.object_path(root, m.ENERGY, keys, f"{d}.jsonl"))
         document = raw_snapshot(t).filter(F.col("department.code") == d)
-        document.coalesce(1).write.json(sources.object_path(root, m.SNAPSHOTS, keys, f"{d}.json"))
+        document.write.json(sources.object_path(root, m.SNAPSHOTS, keys, f"{d}.json"))
     lines.unpersist()
     columns = [m.INCOME_KEY, *m.INCOME_INTS, *m.INCOME_DOUBLES]
 

@@ -6,7 +6,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
-from landledger.showcase import ORACLES, QUERIES
+from landledger.plans import silver
+from landledger.showcase import ORACLES, QUERIES, runs
+from landledger.showcase.registry import Tables
 from tools.check_oracles import TABLES, plain
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -36,3 +38,13 @@ def test_query_equals_its_oracle(spark, duck, name):
 
 def test_entry_runs(spark):
     assert entry(spark).count() > 0
+
+
+def test_raw_partitions_are_written_by_all_tasks(spark, tmp_path):
+    lines = runs.clean_sales(Tables(spark, FOLDER)).repartition(3)
+    runs.write_sales(lines, str(tmp_path), 1997, "13")
+    parts = list(tmp_path.rglob("part-*.csv.gz"))
+    assert len(parts) == 3
+    layout = silver.RawLayout(str(tmp_path), runs.PUBLICATION, runs.EXTRACTED, runs.EXTRACTED)
+    written = silver.read_sales(spark, layout, [1997], ["13"])
+    assert written.count() == lines.filter("_year = 1997 AND code_departement = '13'").count() > 0
