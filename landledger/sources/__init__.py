@@ -10,12 +10,19 @@ from landledger.sources.files import (
     scan_table,
     text_schema,
 )
+from landledger.sources.ranges import block_checksums, byte_ranges, list_files, list_members, read_blocks, read_members
 
 __all__ = [
     "audit_contents",
     "audit_files",
+    "block_checksums",
+    "byte_ranges",
+    "list_files",
+    "list_members",
     "local_file",
     "object_path",
+    "read_blocks",
+    "read_members",
     "read_zip_members",
     "scan_csv",
     "scan_jdbc",

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import csv
 import io
-import itertools
 import zipfile
 from collections.abc import Iterator, Sequence
 
@@ -12,30 +10,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from landledger.sources.files import text_schema
-
-
-# Records that one output batch holds.
-BATCH = 5_000
+from landledger.sources.ranges import csv_batches, list_files, list_members, read_members
 
 
 def _member_batches(content: bytes, member: str, sep: str, columns: Sequence[str]) -> Iterator[pa.RecordBatch]:
-    """Stream one member as record batches of text columns, by header name.
-
-    As permissive as Spark's own reader: a record that ends early is NULL from
-    there on, surplus fields are dropped, blank lines are skipped.
-    """
-    fields = [(c, pa.string()) for c in columns]
+    """Stream one member of an archive that is a value."""
     with zipfile.ZipFile(io.BytesIO(content)) as archive, archive.open(member) as stream:
-        records = csv.reader(io.TextIOWrapper(stream, "utf-8-sig", errors="replace", newline=""), delimiter=sep)
-        header = next(records, [])
-        places = [header.index(c) if c in header else None for c in columns]
-        missing = [c for c, at in zip(columns, places, strict=True) if at is None]
-        if header and missing:
-            raise ValueError(f"{member} has no columns {missing}")
-        while batch := list(itertools.islice(records, BATCH)):
-            rows = [r for r in batch if r]
-            arrays = [pa.array([(r[at] or None) if at < len(r) else None for r in rows], pa.string()) for at in places]
-            yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
+        yield from csv_batches(stream, member, sep, columns)
 
 
 def read_zip_members(archives: DataFrame, member: str, columns: Sequence[str], sep: str = ";") -> DataFrame:
@@ -55,11 +36,10 @@ def read_zip_members(archives: DataFrame, member: str, columns: Sequence[str], s
 
 
 def scan_zip_csv(spark: SparkSession, path: str | list[str], member: str, columns: Sequence[str], sep: str = ";") -> DataFrame:
-    """CSV member of every zip archive under ``path``; archives run in parallel.
+    """CSV members of every zip archive under ``path``; members run in parallel.
 
-    Spark packs files into tasks by size, so the archives of one task stay near
-    ``spark.sql.files.maxPartitionBytes`` (or are a single archive). An archive
-    beyond Spark's 2 GB limit for one value is refused with its length.
+    ``member`` is a name or a pattern of names. Every archive must have one.
+    Archives are opened where they lie and members are read as streams, so
+    neither has a size limit.
     """
-    archives = spark.read.format("binaryFile").load(path)
-    return read_zip_members(archives, member, columns, sep)
+    return read_members(list_members(list_files(spark, path), member, required=True), columns, sep)

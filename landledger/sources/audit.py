@@ -3,72 +3,83 @@
 from __future__ import annotations
 
 import gzip
+import hashlib
 import io
-import json
-import shutil
 import zipfile
 import zlib
-from urllib.parse import unquote
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landledger.operators.snapshot import content_checksum
+from landledger.sources.json_text import JsonSyntax
+from landledger.sources.ranges import deal, list_files
+from landledger.sources.stores import file_system
 
 AUDIT_SCHEMA = "path string, size bigint, is_valid boolean, reason string, sha256 string"
+# Files are read in blocks of this size.
+BLOCK_BYTES = 1 << 20
 
 EMPTY = "empty file"
 BAD = {"gz": "not a valid gzip archive", "zip": "not a valid zip archive", "json": "not valid JSON"}
+UNREADABLE = (zlib.error, zipfile.BadZipFile, EOFError, ValueError, OSError, RuntimeError, NotImplementedError)
+KIND = r"\.([A-Za-z]+)$"
 
 
-class _Discard:
-    """Write target for content that only has to be readable."""
+def _blocks(stream) -> Iterator[bytes]:
+    while block := stream.read(BLOCK_BYTES):
+        yield block
 
-    def write(self, data: bytes) -> int:
-        return len(data)
 
-
-def _gzip_ok(content: bytes) -> bool:
-    with gzip.open(io.BytesIO(content)) as stream:
-        shutil.copyfileobj(stream, _Discard())
+def _gzip_ok(stream) -> bool:
+    with gzip.GzipFile(fileobj=stream) as unpacked:
+        for _ in _blocks(unpacked):
+            pass
     return True
 
 
-def _zip_ok(content: bytes) -> bool:
-    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+def _zip_ok(stream) -> bool:
+    with zipfile.ZipFile(stream) as archive:
         return archive.testzip() is None
 
 
-def _json_ok(content: bytes) -> bool:
-    json.loads(content.decode("utf-8"))
-    return True
+def _json_ok(stream) -> bool:
+    document = JsonSyntax()
+    return all(document.feed(block) for block in _blocks(stream)) and document.feed(b"", last=True)
 
 
 _CHECKS = {"gz": _gzip_ok, "zip": _zip_ok, "json": _json_ok}
 
 
-def check_content(kind: str, content: bytes) -> str:
-    """Reason why ``content`` is not a valid file of its kind, else empty text."""
-    if not content:
-        return EMPTY
+def check_stream(kind: str, stream) -> str:
+    """Reason why the file behind ``stream`` is not a valid one of its kind, else empty text.
+
+    Read in blocks from the beginning; zip archives need a stream that seeks.
+    """
     check = _CHECKS.get(kind)
     if check is None:
         return ""
     try:
-        ok = check(content)
-    except (zlib.error, zipfile.BadZipFile, EOFError, ValueError, OSError, RuntimeError, NotImplementedError):
+        ok = check(stream)
+    except UNREADABLE:
         ok = False
     return "" if ok else BAD[kind]
 
 
+def check_content(kind: str, content: bytes) -> str:
+    """:func:`check_stream` of a value; an empty one is never valid."""
+    return check_stream(kind, io.BytesIO(content)) if content else EMPTY
+
+
 def audit_contents(files: DataFrame) -> DataFrame:
     """Verdict per row of ``files(path, content)``; the kind is the file suffix.
 
     Size and checksum are computed by Spark, only the readability check needs
     Python.
     """
-    kind = F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))
+    kind = F.lower(F.regexp_extract("path", KIND, 1))
     prepared = files.select(
         "path",
         F.octet_length("content").cast("bigint").alias("size"),
@@ -95,29 +106,38 @@ def audit_contents(files: DataFrame) -> DataFrame:
     return prepared.mapInArrow(verdicts, AUDIT_SCHEMA)
 
 
-def _same_path(column: str):
-    """Path with one slash after the scheme, however Spark writes it."""
-    return F.regexp_replace(column, "^([A-Za-z0-9]+):/+", "$1:/")
-
-
 def audit_files(spark: SparkSession, path: str | list[str], glob: str | None = None) -> DataFrame:
     """``(path, size, is_valid, reason, sha256)`` for every file under ``path``.
 
-    gzip and zip archives are read to their end, JSON documents are parsed,
-    other files only have to be non-empty. Spark packs files into tasks by
-    size, so the contents of one task stay near
-    ``spark.sql.files.maxPartitionBytes`` (or are a single file).
-
-    File scans leave out empty files. They are found as the listed names that
-    the scan lacks; the listing is the one Spark has made for the scan, and the
-    comparison reads no content.
+    gzip and zip archives are read to their end, JSON documents are checked,
+    other files only have to be non-empty. Tasks list the folders and then read
+    the files in blocks, so a file may have any size and a task holds one block.
+    A file is one task, since its checksum depends on all that came before;
+    :func:`landledger.sources.ranges.block_checksums` sums its blocks in parallel.
     """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path)
-    names = spark.createDataFrame([(unquote(name),) for name in files.inputFiles()], "path string")
-    listed = names.select("path", _same_path("path").alias("_key"))
-    empty = listed.join(files.select(_same_path("path").alias("_key")), "_key", "left_anti")
-    no_content = empty.select("path", F.lit(b"").alias("content"))
-    return audit_contents(files.select("path", "content")).unionByName(audit_contents(no_content))
+    files = list_files(spark, path, glob).withColumn("kind", F.lower(F.regexp_extract("path", KIND, 1)))
+
+    def verdicts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            reasons, sums = [], []
+            for name, kind, size in zip(*(batch.column(c).to_pylist() for c in ("path", "kind", "size"))):
+                store, inside = file_system(name)
+                total = hashlib.sha256()
+                with store.open_input_stream(inside, compression=None) as stream:
+                    for block in _blocks(stream):
+                        total.update(block)
+                sums.append(total.hexdigest())
+                if size and kind in _CHECKS:
+                    with store.open_input_file(inside) as stream:
+                        reasons.append(check_stream(kind, stream))
+                else:
+                    reasons.append("" if size else EMPTY)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("path"), batch.column("size"), pa.array([not r for r in reasons], pa.bool_()),
+                    pa.array(reasons, pa.string()), pa.array(sums, pa.string()),
+                ],
+                names=["path", "size", "is_valid", "reason", "sha256"],
+            )
+
+    return deal(files, "size", "path").mapInArrow(verdicts, AUDIT_SCHEMA)

@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from landledger import publication
+
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
@@ -84,13 +86,15 @@ def scan_json_document(
 
 
 def scan_table(spark: SparkSession, path_or_name: str, partitions: Sequence[str] = ()) -> DataFrame:
-    """A Parquet directory (anything with a slash) or a catalog table.
+    """A Parquet directory or published table (anything with a slash) or a catalog table.
 
     ``partitions`` names the columns that are directories of a Parquet path.
     They are text, as in the raw scans; Spark would turn ``01`` into 1.
     """
     if "/" not in path_or_name:
         return spark.table(path_or_name)
+    if publication.versions(path_or_name):
+        return publication.read_published(spark, path_or_name)
     scanned = spark.read.parquet(path_or_name)
     if not partitions:
         return scanned
