@@ -26,6 +26,7 @@ def parser() -> argparse.ArgumentParser:
     silver.add_argument("--hot-share", type=float, help="salt addresses with at least this share of the sales")
     silver.add_argument("--one-per-address", action="store_true", help="keep the best result of addresses that coincide once typed")
     silver.add_argument("--null-safe-address", action="store_true", help="let missing house numbers match each other")
+    silver.add_argument("--one-switch", action="store_true", help="publish all partitions at once, as a table of versions")
     silver.add_argument("--nan-to-null", action="store_true", help="take NaN in numbers as missing")
 
     gold = commands.add_parser("gold", help="sales table to price statistics")
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
     try:
         run_silver(
             spark, layout, args.target, args.year, args.dept,
-            args.one_per_address, args.null_safe_address, args.hot_share, nan_to_null=args.nan_to_null,
+            args.one_per_address, args.null_safe_address, args.hot_share, nan_to_null=args.nan_to_null, one_switch=args.one_switch,
         )
     except QualityGateError as error:
         print(f"nothing published: {error}", file=sys.stderr)

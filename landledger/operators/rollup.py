@@ -21,6 +21,8 @@ from landledger.session import materialize
 
 PRICE = "price_per_sqm"
 ACCURACY = 10_000
+# Items that a stored quantile sketch keeps of a group of any size.
+SKETCH_ITEMS = 8192
 
 
 @dataclass(frozen=True)
@@ -106,6 +108,48 @@ def price_rollups(df: DataFrame, cols: PriceColumns, accuracy: int = ACCURACY) -
     return stats.select(level.alias("rollup"), *[c for c in stats.columns if not c.startswith("_g_")])
 
 
+def price_sketches(df: DataFrame, group_by: Sequence[str], cols: PriceColumns, k: int = SKETCH_ITEMS) -> DataFrame:
+    """What price statistics need of a part of the sales, by ``group_by`` and quarter, in mergeable form.
+
+    ``group_by`` has the area columns and may have columns of the lines, such as
+    the partition, on which all lines of a transaction must agree.
+    """
+    others = [c for c in group_by if c not in cols.grain]
+    sales = with_positive(df, [cols.surface, cols.value], {cols.category: cols.sale})
+    grain = to_transaction_grain(sales, [*cols.grain, *others], cols.value, cols.surface)
+    priced = with_ratio(grain, cols.value, cols.surface, PRICE).withColumn("quarter", quarter_label(cols.date))
+    measured = [PRICE, cols.value, cols.surface]
+    return priced.groupBy(*group_by, "quarter").agg(
+        F.count(F.lit(1)).alias("nb_transactions"),
+        *[F.sum(c).alias(f"sum_{c}") for c in measured],
+        *[F.kll_sketch_agg_double(F.col(c).cast("double"), k).alias(f"sketch_{c}") for c in (PRICE, cols.value)],
+    )
+
+
+def merge_sketches(sketches: DataFrame, group_by: Sequence[str], cols: PriceColumns) -> DataFrame:
+    """Price statistics per group from :func:`price_sketches` of its parts; columns as in :func:`price_stats`.
+
+    Counts and means are those of the sales themselves. A median is an element
+    of the group, the lower one of two; exact up to the sketch's number of
+    items, beyond it within a rank error of about 2 / items.
+    """
+    merged = sketches.groupBy(*group_by).agg(
+        F.sum("nb_transactions").alias("nb_transactions"),
+        *[F.sum(f"sum_{c}").alias(f"sum_{c}") for c in (PRICE, cols.value, cols.surface)],
+        *[F.kll_merge_agg_double(f"sketch_{c}").alias(f"sketch_{c}") for c in (PRICE, cols.value)],
+    )
+
+    def median(c):
+        return F.kll_sketch_get_quantile_double(f"sketch_{c}", F.lit(0.5)).alias(f"median_{c}")
+
+    def mean(c):
+        return (F.col(f"sum_{c}") / F.col("nb_transactions")).alias(f"avg_{c}")
+
+    return merged.select(
+        *group_by, "nb_transactions", median(PRICE), mean(PRICE), median(cols.value), mean(cols.value), mean(cols.surface)
+    )
+
+
 def exact_medians(df: DataFrame, group_by: Sequence[str], column: str, most: int = 10_000) -> DataFrame:
     """Exact lower median of ``column`` per group, for groups of any size.
 

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from landledger import sinks, sources
+from landledger import publication, sinks, sources
 from landledger.functions import decimal_comma, map_key, parse_date, parse_double, parse_int
 from landledger.operators import dedup, lookup, nested, projection, quality
 from landledger.plans import property_model as m
@@ -225,16 +225,23 @@ def _partition_paths(
     return paths
 
 
-def read_sales(spark: SparkSession, layout: RawLayout, years: Sequence[int], departments: Sequence[str]) -> DataFrame:
-    """Raw sale lines of all asked partitions with ``year`` and ``department`` columns."""
-    paths = _partition_paths(layout, m.SALES, {"publication": layout.publication}, years, departments, ".csv.gz")
-    return sources.scan_csv(
-        spark,
-        paths,
-        m.SALE_COLUMNS,
-        partitions=PARTITIONS,
-        base_path=sources.object_path(layout.root, m.SALES, {"publication": layout.publication}),
-    )
+def read_sales(
+    spark: SparkSession,
+    layout: RawLayout,
+    years: Sequence[int] = (),
+    departments: Sequence[str] = (),
+    asked: DataFrame | None = None,
+) -> DataFrame:
+    """Raw sale lines of all asked partitions with ``year`` and ``department`` columns.
+
+    Either years and departments, whose files are named by rule, or a table
+    ``asked`` of both, which prunes the folders of the dataset at run time.
+    """
+    base = sources.object_path(layout.root, m.SALES, {"publication": layout.publication})
+    heads = {"publication": layout.publication}
+    path = _partition_paths(layout, m.SALES, heads, years, departments, ".csv.gz") if asked is None else base
+    scanned = sources.scan_csv(spark, path, m.SALE_COLUMNS, partitions=PARTITIONS, base_path=base)
+    return scanned if asked is None else sources.asked_only(scanned, asked, PARTITIONS)
 
 
 def read_lookups(
@@ -243,30 +250,30 @@ def read_lookups(
     years: Sequence[int],
     departments: Sequence[str],
     one_per_address: bool = False,
+    asked: DataFrame | None = None,
 ) -> Lookups:
-    """All lookup sides of the asked partitions, typed.
+    """All lookup sides of the asked partitions, typed; with ``asked`` as in :func:`read_sales`.
 
     Each row keeps the partition it comes from, so that a run over many
     partitions gives every sale the rows that a run over its own partition
     would: an address geocoded for two years has a result for each.
     """
 
-    def paths(dataset: str, heads: dict[str, str], in_years: Sequence[int], suffix: str) -> dict:
-        return {
-            "path": _partition_paths(layout, dataset, heads, in_years, departments, suffix),
-            "partitions": PARTITIONS if in_years else PARTITIONS[1:],
-            "base_path": sources.object_path(layout.root, dataset, heads),
-        }
-
-    by_department = PARTITIONS[1:]
-    addresses = sources.scan_csv(
-        spark, columns=m.ADDRESS_COLUMNS, **paths(m.ADDRESSES, {"publication": layout.publication}, years, ".csv")
-    )
-    energy = sources.scan_jsonl(
-        spark, schema=m.ENERGY_SCHEMA, **paths(m.ENERGY, {"extraction_date": layout.energy_date}, (), ".jsonl")
+    def read(scan, dataset: str, heads: dict[str, str], keys: list[str], suffix: str, **options) -> DataFrame:
+        base = sources.object_path(layout.root, dataset, heads)
+        in_years = years if "year" in keys else ()
+        path = _partition_paths(layout, dataset, heads, in_years, departments, suffix) if asked is None else base
+        scanned = scan(spark, path, partitions=keys, base_path=base, **options)
+        return scanned if asked is None else sources.asked_only(scanned, asked, keys)
+
+    by_department, published = PARTITIONS[1:], {"publication": layout.publication}
+    addresses = read(sources.scan_csv, m.ADDRESSES, published, PARTITIONS, ".csv", columns=m.ADDRESS_COLUMNS)
+    energy = read(
+        sources.scan_jsonl, m.ENERGY, {"extraction_date": layout.energy_date}, by_department, ".jsonl", schema=m.ENERGY_SCHEMA
     )
-    snapshots = sources.scan_json_document(
-        spark, schema=m.SNAPSHOT_SCHEMA, **paths(m.SNAPSHOTS, {"extraction_date": layout.snapshot_date}, (), ".json")
+    snapshots = read(
+        sources.scan_json_document, m.SNAPSHOTS, {"extraction_date": layout.snapshot_date}, by_department, ".json",
+        schema=m.SNAPSHOT_SCHEMA,
     )
     incomes = sources.scan_zip_csv(
         spark,
@@ -310,13 +317,15 @@ def run_silver(
     spark: SparkSession,
     layout: RawLayout,
     target: str,
-    years: Sequence[int],
-    departments: Sequence[str],
+    years: Sequence[int] = (),
+    departments: Sequence[str] = (),
     one_per_address: bool = False,
     null_safe_address: bool = False,
     hot_share: float | None = None,
     show=print,
     nan_to_null: bool = False,
+    asked: DataFrame | None = None,
+    one_switch: bool = False,
 ) -> list:
     """Build, check and publish the asked partitions in one job chain.
 
@@ -325,15 +334,25 @@ def run_silver(
     copied from it. Every asked partition is judged, also one without rows, and
     nothing is published if a blocking rule fails. With ``hot_share`` the
     addresses that hold at least that share of the sales are found first and
-    salted in the lookup.
+    salted in the lookup. A table ``asked`` (year, department) takes the place of
+    years and departments; its partitions are found at run time. With
+    ``one_switch`` the target is a published table
+    (:mod:`landledger.publication`), whose partitions change all at once.
     """
-    sides = read_lookups(spark, layout, years, departments, one_per_address)
+    if asked is None:
+        owned = [(str(y), d) for y in years for d in departments]
+    else:
+        # one row per asked partition
+        asked = materialize(asked.select(*[F.col(c).cast("string").alias(c) for c in PARTITIONS]).distinct(), "asked")
+        owned = sorted(tuple(r) for r in asked.collect())
+        departments = sorted({d for _, d in owned})
+    sides = read_lookups(spark, layout, years, departments, one_per_address, asked)
     sides.incomes, income_size = hinted(materialize(sides.incomes, "incomes"), ["code_commune", "department"])
     sides.communes, commune_size = hinted(
         materialize(sides.communes, "communes"), ["code_commune_insee", "department"]
     )
     report = JoinReport()
-    sales = read_sales(spark, layout, years, departments)
+    sales = read_sales(spark, layout, years, departments, asked)
     hot = None
     if hot_share:
         keys = [*m.ADDRESS_KEY, *PARTITIONS]
@@ -343,12 +362,14 @@ def run_silver(
     for line in report.lines():
         show(line)
 
-    owned = [(str(y), d) for y in years for d in departments]
     asked = spark.createDataFrame(owned, ", ".join(f"{c} string" for c in PARTITIONS))
     results = quality.run_gate(staged, m.all_rules("department", "year"), PARTITIONS, show, asked)
     matching = (null_safe_address, nan_to_null)
     results += quality.enforce(_conservation(sales, staged, sides, income_size, commune_size, *matching), show)
-    sinks.replace_partitions(staged, target, PARTITIONS, owned)
+    if one_switch:
+        publication.publish(staged, target, PARTITIONS, owned)
+    else:
+        sinks.replace_partitions(staged, target, PARTITIONS, owned)
     return results
 
 

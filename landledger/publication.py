@@ -201,13 +201,16 @@ def publish(
     partitions: Sequence[str] = (),
     owned: Sequence[Sequence[object]] | None = None,
     note: dict | None = None,
+    arranged: bool = False,
 ) -> int:
     """Replace the partitions that occur in ``df`` in one switch; returns the new version's number.
 
     Partitions of ``owned`` (values in the order of ``partitions``) that have no
     row in ``df`` are removed in the same switch; others stay. Without
     ``partitions`` the whole table is replaced. ``note`` is kept with the
-    version. If any task fails, the error is raised and nothing changes. Runs
+    version. Rows that are sorted by partition within their tasks already are
+    written as they are with ``arranged``. If any task fails, the error is raised
+    and nothing changes. Runs
     that publish different partitions at the same time both take effect, where
     the store can create a file exclusively (local, HDFS).
     """
@@ -216,7 +219,7 @@ def publish(
     spark = df.sparkSession
     spark.dataSource.register(PublicationSource)
     # grouped for few files; AQE splits a partition that is too large for one task
-    rows = df.hint("rebalance", *names).sortWithinPartitions(*names) if names else df
+    rows = df.hint("rebalance", *names).sortWithinPartitions(*names) if names and not arranged else df
     (
         rows.write.format(FORMAT)
         .option("partitions", json.dumps(names))

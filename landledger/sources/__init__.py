@@ -1,6 +1,7 @@
 from landledger.sources.archives import read_zip_members, scan_zip_csv
 from landledger.sources.audit import audit_contents, audit_files
 from landledger.sources.files import (
+    asked_only,
     local_file,
     object_path,
     scan_csv,
@@ -13,6 +14,7 @@ from landledger.sources.files import (
 from landledger.sources.ranges import block_checksums, byte_ranges, list_files, list_members, read_blocks, read_members
 
 __all__ = [
+    "asked_only",
     "audit_contents",
     "audit_files",
     "block_checksums",

@@ -10,10 +10,14 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landledger import publication
 
+# Asked partitions that are broadcast at most.
+MOST_ASKED = 200_000
+
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
@@ -102,6 +106,21 @@ def scan_table(spark: SparkSession, path_or_name: str, partitions: Sequence[str]
     return spark.read.schema(_with_partitions(inside, partitions)).parquet(path_or_name)
 
 
+def asked_only(scanned: DataFrame, asked: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Rows of the partitions that the table ``asked`` names, known only at run time.
+
+    ``partitions`` are partition columns of ``scanned``. Their values are read
+    first and prune its directories before files are opened (dynamic partition
+    pruning), where ``asked`` is small enough to be broadcast, which is counted.
+    """
+    # folders never have an empty name; the comparison also tells Catalyst that the side is selective
+    chosen = asked.select(*[F.col(p).cast("string").alias(p) for p in partitions]).distinct()
+    for p in partitions:
+        chosen = chosen.filter(F.col(p) != "")
+    small = chosen.limit(MOST_ASKED + 1).count() <= MOST_ASKED
+    return scanned.join(F.broadcast(chosen) if small else chosen, list(partitions), "left_semi")
+
+
 def jdbc_read_options(
     url: str,
     table: str,

@@ -42,9 +42,23 @@ def test_entry_runs(spark):
 
 def test_raw_partitions_are_written_by_all_tasks(spark, tmp_path):
     lines = runs.clean_sales(Tables(spark, FOLDER)).repartition(3)
-    runs.write_sales(lines, str(tmp_path), 1997, "13")
+    runs.rewrite_sales(lines, str(tmp_path), 1997, "13")
     parts = list(tmp_path.rglob("part-*.csv.gz"))
     assert len(parts) == 3
     layout = silver.RawLayout(str(tmp_path), runs.PUBLICATION, runs.EXTRACTED, runs.EXTRACTED)
-    written = silver.read_sales(spark, layout, [1997], ["13"])
-    assert written.count() == lines.filter("_year = 1997 AND code_departement = '13'").count() > 0
+    asked = spark.createDataFrame([("1997", "13")], "year string, department string")
+    written = silver.read_sales(spark, layout, asked=asked)
+    assert written.count() == lines.filter("year = 1997 AND department = '13'").count() > 0
+
+
+def test_asked_partitions_prune_folders_at_run_time(spark, tmp_path):
+    lines = runs.clean_sales(Tables(spark, FOLDER))
+    runs.write_sales(lines, str(tmp_path))
+    wanted = lines.select("year", "department").distinct().filter("year % 2 = 0 AND department <> '75'")
+    wanted.write.parquet(f"{tmp_path}/wanted")
+    asked = spark.read.parquet(f"{tmp_path}/wanted")
+    layout = silver.RawLayout(str(tmp_path), runs.PUBLICATION, runs.EXTRACTED, runs.EXTRACTED)
+    read = silver.read_sales(spark, layout, asked=asked)
+    assert read.count() == lines.filter("year % 2 = 0 AND department <> '75'").count() > 0
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
