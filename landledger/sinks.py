@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from landledger.session import remove
+
 
 def replace_partitions(
     df: DataFrame, path: str, partitions: Sequence[str], owned: Sequence[Sequence[object]] | None = None
@@ -33,13 +35,7 @@ def replace_partitions(
     present = {tuple(map(str, r)) for r in df.select(*partitions).distinct().collect()}
     for values in owned:
         if tuple(map(str, values)) not in present:
-            _delete(df.sparkSession, "/".join([path.rstrip("/"), *[f"{p}={v}" for p, v in zip(partitions, values)]]))
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    """Remove a folder of whatever store the path names, if it exists."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+            remove(df.sparkSession, "/".join([path.rstrip("/"), *[f"{p}={v}" for p, v in zip(partitions, values)]]))
 
 
 def overwrite(df: DataFrame, path: str) -> None:
