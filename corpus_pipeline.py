@@ -5,28 +5,35 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from landledger.llm.edit_matching import without_leaks
 from landledger.llm.line_crf import fit, with_quality
 from landledger.llm.mixing import entropy_mix
 from landledger.llm.ngram_join import jaccard_components
 from landledger.llm.shared import table
-from landledger.session import materialize
+from landledger.session import discard, kept, materialize, scratch_scope
+
+
+def carried(docs: DataFrame) -> DataFrame:
+    """Documents with their row in a struct, so that no column of theirs clashes with one that a stage adds."""
+    return docs.select(F.struct(*docs.columns).alias("_row"), "doc_id", "text")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line labeller does not reject. NULL texts are judged as empty ones."""
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return with_quality(docs, model).filter("predicted = 1").select(*docs.columns)
+    return with_quality(carried(docs), model).filter("predicted = 1").select("_row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of documents with similar shingle sets, the one of smallest id.
 
-    Documents are similar from 0.8 on over their five-word shingles. Documents without words and documents without an id stay. Rows that repeat
-    an id and its text are one document.
+    Documents are similar from 0.8 on over their five-word shingles. Documents
+    without words and documents without an id stay. Rows that repeat an id and
+    its text are one document.
     """
-    grouped = materialize(jaccard_components(docs, words=5, percent=80), "grouped")
+    grouped = jaccard_components(docs, words=5, percent=80)
     gone = grouped.filter("doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
     again = grouped.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
@@ -38,7 +45,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item is found."""
-    return without_leaks(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
+    return without_leaks(carried(docs), table(spark, sf_dir, "benchmark")).select("_row.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +66,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages; a stage's tables are removed when its result is written, and that one when the next is."""
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+    for number, (name, stage) in enumerate(STAGES):
+        with scratch_scope(spark):
+            made = kept(materialize(stage(spark, docs, sf_dir), name))
+        if number:
+            discard(docs)
+        docs = made
     return docs
