@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landledger.session import materialize
+from landledger.session import discard, kept, materialize, scratch_scope
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -34,18 +34,24 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b); component is the smallest node.
 
-    The result is a written table. Loops and repeated links are harmless; links
-    with a NULL end are ignored.
+    The result reads one written table. Loops and repeated links are harmless;
+    links with a NULL end are ignored. Raises if the links still change after
+    ``max_rounds``, of which each more than halves the longest way to a root.
     """
-    pairs = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    state, seen = materialize(pairs, "links"), None
-    for _ in range(max_rounds):
-        state = materialize(_star(_star(state, large=True), large=False), "links")
-        # two numbers that tell whether the set of links changed
-        mark = tuple(state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if mark == seen:
-            break
-        seen = mark
+    with scratch_scope(links.sparkSession):
+        pairs = links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        state, seen = materialize(pairs, "links"), None
+        for _ in range(max_rounds):
+            before, state = state, materialize(_star(_star(state, large=True), large=False), "links")
+            discard(before)
+            # two numbers that tell whether the set of links changed
+            mark = tuple(state.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+            if mark == seen:
+                break
+            seen = mark
+        else:
+            raise RuntimeError(f"components are not settled after {max_rounds} rounds")
+        kept(state)
     roots = state.select(F.col("b").alias("node")).distinct()
     return state.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         roots.select("node", F.col("node").alias("component"))

@@ -192,3 +192,54 @@ def test_hamming_recall_at_the_bound_for_every_width(dims, least):
             covered |= mask if rotation == 0 else 0
         assert covered == (1 << dims) - 1
     assert widths == set(range(8, min(16, dims) + 1))
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_jaccard_clusters_of_many_chunks(spark, monkeypatch, seed):
+    """Chains of near copies whose ends are far apart, in clusters of many chunks."""
+    monkeypatch.setattr(ngram_join, "CHUNK_ROWS", 4)
+    monkeypatch.setattr(ngram_join, "REPRESENTATIVES", 2)
+    rng = random.Random(seed)
+    texts = near_copies(seed)
+    at = max(texts) + 1
+    for chain in range(3):
+        words = [f"c{chain}x{i}" for i in range(60)]
+        for step in range(30):
+            texts[at] = " ".join(words)
+            at += 1
+            # some steps are too wide, so that a chain falls into several components
+            for _ in range(rng.choice([1, 1, 1, 3])):
+                words[rng.randrange(60)] = f"n{chain}y{rng.randrange(10**6)}"
+    sizes, want = jaccard_roots(texts, 80)
+    df = spark.createDataFrame([(k, t) for k, t in texts.items()], "doc_id long, text string").repartition(5)
+    got = ngram_join.jaccard_components(df, percent=80)
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == {k: (sizes[k], want[k]) for k in texts}
+
+
+def test_jaccard_joins_all_texts_of_an_id(spark):
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    near = b + " more"
+    rows = [(1, a), (5, a), (5, b), (7, near), (5, b), (9, "something else"), (None, a)]
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r["doc_id"], r["component_id"]) for r in got.collect() if r["doc_id"]) == [(1, 1), (5, 1), (5, 1), (5, 1), (7, 1), (9, 9)]
+
+
+def test_jaccard_leaves_no_table_but_its_result(spark):
+    import os
+
+    from landledger.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    os.makedirs(folder, exist_ok=True)
+    before = set(os.listdir(folder))
+    df = spark.createDataFrame([(k, t) for k, t in near_copies(1).items()], "doc_id long, text string")
+    got = ngram_join.jaccard_components(df)
+    assert got.count() == df.count()
+    assert len(set(os.listdir(folder)) - before) == 1
+
+
+def test_components_raise_when_they_are_not_settled(spark):
+    chain = spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long")
+    with pytest.raises(RuntimeError, match="not settled"):
+        components(chain, max_rounds=1)
+    assert {r["component"] for r in components(chain).collect()} == {0}
