@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from landledger.operators.rollup import exact_medians
 from landledger.session import materialize
@@ -39,18 +40,32 @@ def as_of(
     Equal dates are decided by the largest ``tie_break`` columns. A NULL key or
     date on either side gives no value; every left row is kept once.
 
-    Both sides are first reduced to one row per key and date, in the map tasks
-    already: however many left rows and diagnostics an address has, it meets as
-    its dates only.
+    A merge, not a join of dates with dates: both sides are reduced to one row
+    per key and date in the map tasks, put in one order, and the last value is
+    carried forward to the dates that ask. A key's dates are cut by month, and
+    each month hands on one row, so that a key of very many dates is spread.
     """
     order = F.struct(*[F.col(c) for c in tie_break]) if tie_break else F.struct(*[F.col(c) for c in columns])
     dated = right.filter(F.col(right_key).isNotNull() & F.col(right_date).isNotNull())
-    newest = dated.groupBy(F.col(right_key).alias("_rk"), F.col(right_date).alias("_rd")).agg(
+    newest = dated.groupBy(F.col(right_key).alias("_k"), F.col(right_date).alias("_d")).agg(
         F.max_by(F.struct(*columns), order).alias("_value")
     )
     asked = left.select(F.col(key).alias("_k"), F.col(date).alias("_d")).filter("_k IS NOT NULL AND _d IS NOT NULL").distinct()
-    pairs = asked.join(newest, (F.col("_k") == F.col("_rk")) & (F.col("_rd") <= F.col("_d")))
-    found = pairs.groupBy("_k", "_d").agg(F.max_by("_value", "_rd").alias("_value"))
+    # a date that both has a value and asks sees its own value: it is one row
+    dates = newest.withColumn("_asks", F.lit(False)).unionByName(
+        asked.withColumn("_asks", F.lit(True)), allowMissingColumns=True
+    )
+    dates = dates.groupBy("_k", "_d").agg(F.first("_value", ignorenulls=True).alias("_value"), F.max("_asks").alias("_asks"))
+    timed = isinstance(dates.schema["_d"].dataType, (T.DateType, T.TimestampType, T.TimestampNTZType))
+    dates = dates.withColumn("_month", F.date_trunc("month", "_d") if timed else F.lit(0))
+    months = dates.filter("_value IS NOT NULL").groupBy("_k", "_month").agg(F.max_by("_value", "_d").alias("_last"))
+    months = months.unionByName(dates.select("_k", "_month").distinct(), allowMissingColumns=True)
+    months = months.groupBy("_k", "_month").agg(F.first("_last", ignorenulls=True).alias("_last"))
+    earlier = Window.partitionBy("_k").orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    months = months.select("_k", "_month", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    upto = Window.partitionBy("_k", "_month").orderBy("_d").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    merged = dates.withColumn("_value", F.last("_value", ignorenulls=True).over(upto)).filter("_asks").join(months, ["_k", "_month"])
+    found = merged.select("_k", "_d", F.coalesce("_value", "_before").alias("_value"))
     joined = left.join(found, (F.col(key) == F.col("_k")) & (F.col(date) == F.col("_d")), "left")
     return joined.select(*[F.col(f"`{c}`") for c in left.columns], *[F.col(f"_value.{c}").alias(c) for c in columns])
 

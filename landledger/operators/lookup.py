@@ -230,6 +230,41 @@ def coverage_by_group(df: DataFrame, keys: Sequence[str], matched: str, digits:
     return counts.withColumn("pct", percent).orderBy("pct", *keys)
 
 
+def colocated_lookup(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """:func:`lookup_join` of two tables that are bucketed by ``on``, without a shuffle.
+
+    Both are written by :func:`landledger.sinks.write_bucketed` with the same
+    keys and number of buckets. Left rows with a NULL key match nothing; they
+    are read on their own and never enter the join, as their bucket would hold
+    them all.
+    """
+    payload = [c for c in right.columns if c not in on]
+    clash = set(payload) & set(left.columns)
+    if clash:
+        raise ValueError(f"both sides have {sorted(clash)}; rename one of them")
+    whole = reduce(Column.__and__, [F.col(k).isNotNull() for k in on])
+    matched = left.filter(whole).join(right, list(on), "left")
+    order = [*on, *[c for c in left.columns if c not in on]]
+    alone = left.filter(~whole).select(*order, *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in payload])
+    return matched.select(*order, *payload).unionByName(alone)
+
+
+def key_differences(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Keys that only one side has: ``on``, rows on either side, and ``only_in`` (``left`` or ``right``).
+
+    One aggregate over both sides, combined in the map tasks, so a key of any
+    frequency reaches the shuffle once per task. Keys with a NULL part are left out.
+    """
+    sides = left.select(*on, F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(*on, F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    )
+    for k in on:
+        sides = sides.filter(F.col(k).isNotNull())
+    counts = sides.groupBy(*on).agg(F.sum("_l").alias("left_rows"), F.sum("_r").alias("right_rows"))
+    only = F.when(F.col("right_rows") == 0, "left").when(F.col("left_rows") == 0, "right")
+    return counts.withColumn("only_in", only).filter("only_in IS NOT NULL")
+
+
 def missing_keys(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Distinct keys of ``left`` that ``right`` lacks.
 

@@ -43,6 +43,16 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Replace the catalog table ``name`` at ``path`` by ``df`` in ``buckets`` buckets of ``keys``, each sorted by them.
+
+    Tables of equal keys and buckets join on these keys without a shuffle. One
+    task writes one file per bucket, so choose buckets by the size of the table.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> int:
     """JSON lines with sorted field names and explicit nulls; returns the count.
 
