@@ -9,7 +9,8 @@ Runs of ``BLOCK_LINES`` lines are compressed into blocks, one file of blocks
 per range of keys. Beside it lies its directory: one line per block with the
 block's first and last key and its byte range. A look-up searches the list of
 ranges, then the range's directory, then the lines of one block, all by
-bisection, and reads only that block and the records found.
+bisection, and reads only that block and the records found. Many look-ups are
+sorted by key first, so that each directory and block is opened once.
 
 Files lie in the shared scratch folder, written by tasks under names of their
 own. The table that a task returns names its files, and Spark keeps the table
@@ -63,7 +64,8 @@ def _file_system(path: str):
 
     if path.startswith(("file:", "/")):
         return fs.LocalFileSystem(), re.sub(r"^file:/*", "/", path)
-    return fs.FileSystem.from_uri(path)
+    # Arrow knows Hadoop's S3 schemes under one name
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", path))
 
 
 class _Output:
@@ -351,11 +353,82 @@ def look_up(index: CaptureIndex, urls: DataFrame) -> DataFrame:
     return urls.select("url").mapInPandas(search, RECORD)
 
 
+def visits(index: CaptureIndex, urls: DataFrame) -> DataFrame:
+    """(blocks, offset, length, key) for every block that may hold a key of ``urls`` (url), each key once.
+
+    Keys are sorted and dealt to the tasks by range. A task bisects the list of
+    ranges and the sparse directory for each of its keys; as neighbours follow
+    each other, it opens every directory once.
+    """
+    ranges = [tuple(r) for r in index.ranges.orderBy("first_key", "last_key").select("first_key", "last_key", "blocks", "directory").collect()]
+
+    def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"key": sorted({url_key(u) for u in batch["url"]})})
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        inputs, firsts, opened = _Inputs(), [r[0] for r in ranges], OrderedDict()
+        for batch in batches:
+            found = []
+            for key in batch["key"]:
+                at = bisect.bisect_right(firsts, key)
+                while at > 0 and ranges[at - 1][1] >= key:
+                    at -= 1
+                    _, _, blocks, directory = ranges[at]
+                    if directory not in opened:
+                        entries = _directory(inputs, directory)
+                        opened[directory] = entries, [e[1] for e in entries]
+                        if len(opened) > 4:
+                            opened.popitem(last=False)
+                    entries, lasts = opened[directory]
+                    block = bisect.bisect_left(lasts, key)
+                    while block < len(entries) and entries[block][0] <= key:
+                        found.append((blocks, entries[block][2], entries[block][3], key))
+                        block += 1
+            yield pd.DataFrame(found, columns=["blocks", "offset", "length", "key"])
+
+    n = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = urls.select("url").distinct().mapInPandas(keys, "key string").distinct()
+    dealt = distinct.repartitionByRange(n, "key").sortWithinPartitions("key")
+    return dealt.mapInPandas(search, "blocks string, offset long, length long, key string")
+
+
+def look_up_keys(index: CaptureIndex, urls: DataFrame) -> DataFrame:
+    """Records whose URL key equals that of some row of ``urls`` (url), each record once.
+
+    The blocks to visit are dealt over all tasks, so a key of very many captures
+    is as many pieces of work as it has blocks. A block is read once, and each of
+    its keys is bisected in its lines.
+    """
+
+    def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        inputs, at, lines, keys = _Inputs(), None, [], []
+        for batch in batches:
+            for path, offset, length, key in batch[["blocks", "offset", "length", "key"]].itertuples(index=False, name=None):
+                if (path, offset) != at:
+                    at, lines = (path, offset), _block(inputs, path, [None, None, int(offset), int(length)])
+                    keys = [x[0] for x in lines]
+                held, size = [], 0
+                for record in _records(inputs, lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]):
+                    held.append(record)
+                    size += len(record["payload"])
+                    if size > 8_000_000:
+                        yield _record_frame(held)
+                        held, size = [], 0
+                if held:
+                    yield _record_frame(held)
+
+    n = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = visits(index, urls).repartition(n, "blocks", "offset").sortWithinPartitions("blocks", "offset", "key")
+    return wanted.mapInPandas(records, RECORD)
+
+
 def archive(spark: SparkSession, pages: DataFrame, least_bytes: int = 0) -> CaptureIndex:
     folder = scratch_path(spark, "captures")
     return build_index(write_archives(pages, folder, least_bytes), folder)
 
 
 def op6_capture_index(spark, folder: str) -> DataFrame:
-    index = archive(spark, table(spark, folder, "pages").select("page_id", "url", "html"))
-    return read_all(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = look_up_keys(archive(spark, pages), pages)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

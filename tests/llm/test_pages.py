@@ -135,6 +135,11 @@ def test_archives_round_trip(spark, monkeypatch):
     urls = spark.createDataFrame([("http://b.com/x#other",), ("http://a.b.com/y",), (None,), ("http://zzz.com/",), ("http://B.com/x",)], "url string")
     found = [str(r.page_id) for r in capture_index.look_up(index, urls).collect()]
     assert sorted(found) == ["2", "2", "3", "3", "5", "7", "7"]
+    once = [str(r.page_id) for r in capture_index.look_up_keys(index, urls).collect()]
+    assert sorted(once) == ["2", "2", "3", "5", "7"]
+    # every key of the pages finds every record once
+    every = capture_index.look_up_keys(index, pages.unionByName(pages)).collect()
+    assert sorted((tuple(r[f] for f in fields) for r in every), key=key) == sorted(expected, key=key)
 
 
 def test_archives_share_only_from_a_size_on(spark):
