@@ -203,5 +203,7 @@ def _median_bucket(values: DataFrame, group_by: Sequence[str], wanted: Column, f
     )
     same = [F.col(c).eqNullSafe(F.col(f"_t_{c}")) for c in group_by] + [F.col("_bucket") == F.col("_t_bucket")]
     kept = values.select(*group_by, "_v", "_n", "_bucket").join(chosen, reduce(Column.__and__, same))
-    largest = chosen.agg(F.max("_values")).first()[0] or 0
+    # values that are one double cannot be told apart by steps; they are ranked as they are
+    apart = F.col("_low").cast("double") < F.col("_high").cast("double")
+    largest = chosen.filter(apart).agg(F.max("_values")).first()[0] or 0
     return materialize(kept.select(*group_by, "_v", "_n", "_low", "_high", "_rank"), "values"), largest

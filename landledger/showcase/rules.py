@@ -27,7 +27,7 @@ EVENT_RULES = [
     UNION ALL SELECT 'e3', 'value is unusually high', 'WARNING', count(*) FILTER (WHERE value > 300), TRUE FROM readings
     UNION ALL SELECT 'e4', 'no repeated readings', 'HARD FAIL', count(*) - count(DISTINCT readings),
       count(*) = count(DISTINCT readings) FROM readings
-    UNION ALL SELECT '5-user', 'user join coverage >= 100% (actual: 100.0%)', 'HARD FAIL', 0, TRUE""",
+    UNION ALL SELECT '5-user', 'user_id: present in 100% or more of the rows, here in 100.0%', 'HARD FAIL', 0, TRUE""",
 )
 def quality_rules_events(t):
     return q.quality_report(t.events.selectExpr("user_id", "event_type", "round(value, 0) AS value"), EVENT_RULES)

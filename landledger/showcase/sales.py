@@ -418,7 +418,7 @@ def report_sql(group: str = "") -> str:
         met = f"count({column}) / count(*) >= {floor}"
         parts.append(
             f"SELECT {head}'5-{label}' AS rule_id,"
-            f" printf('{label} join coverage >= {floor * 100:.0f}%% (actual: %.1f%%)', count({column}) / count(*) * 100),"
+            f" printf('{column}: present in {floor * 100:.0f}%% or more of the rows, here in %.1f%%', count({column}) / count(*) * 100),"
             f" '{severity}', CASE WHEN {met} THEN 0 ELSE count(*) - count({column}) END,"
             f" {'TRUE' if severity == 'WARNING' else met} FROM silver {tail}"
         )

@@ -124,3 +124,13 @@ def test_grain_keeps_value_once(spark):
     assert sorted((r["id_mutation"], r["valeur_fonciere"], r["surface_reelle_bati"]) for r in grain.collect()) == [
         ("2024-1", 400000.0, 25.0), ("other", 400000.0, 40.0),
     ]
+
+
+def test_exact_medians_of_values_that_are_one_double(spark):
+    from decimal import Decimal
+
+    base = Decimal("1000000000000000000")
+    values = [(base + k,) for k in range(40)] + [(Decimal(1),), (base * 2,)]
+    df = spark.createDataFrame(values, "v decimal(30,0)").withColumn("g", F.lit("a"))
+    got = rollup.exact_medians(df, ["g"], "v", most=5).first()["median_v"]
+    assert got == sorted(v for v, in values)[(len(values) - 1) // 2]
