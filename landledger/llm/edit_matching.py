@@ -3,9 +3,12 @@
 An item may occur in a document with up to k edits. Cut into k + 1 pieces, at
 least one piece of such an occurrence is unedited. One Aho-Corasick automaton
 over all pieces finds these exact hits in a single pass over a text; each hit
-says where the item would lie, neighbouring guesses are merged into one window,
-and Myers' bit-parallel algorithm finds the best end of the item in it with the
-fewest edits. A second run over reversed texts gives the start.
+says where the item would lie. As pieces are short, a hit is first checked by the
+pieces beside it: n neighbouring pieces that begin with an unedited one hold at
+most n - 1 edits on some way from one piece to all of them, doubling each time.
+Neighbouring guesses that pass are merged into one window, and Myers'
+bit-parallel algorithm finds the best end of the item in it with the fewest
+edits. A second run over reversed texts, bound to their beginning, gives the start.
 
 Items are a query set: they are read in blocks of at most ``BLOCK_CHARS``
 characters, and every block is matched against every whole text. The documents
@@ -24,10 +27,10 @@ from pyspark.sql import functions as F
 from landledger.llm.shared import table
 from landledger.session import materialize
 
-# At most this share of an item's characters may be edited, and no more edits
-# than leave pieces of this length.
-EDIT_SHARE, PIECE = 0.1, 20
-# Items with fewer characters than a piece must be the whole document.
+# One edit is allowed for this many characters of an item, so pieces are about as long.
+CHARS_PER_EDIT = 10
+# Items below this length are one exact piece, and count only between word borders.
+SHORT = 20
 BLOCK_CHARS = 4_000_000
 
 MATCHES = "array<struct<item_id: bigint, distance: int, start: int, end: int>>"
@@ -39,7 +42,7 @@ def normalise(text: str | None) -> str:
 
 
 def edit_budget(length: int) -> int:
-    return max(0, min(int(length * EDIT_SHARE), length // PIECE - 1))
+    return length // CHARS_PER_EDIT if length >= SHORT else 0
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -49,13 +52,13 @@ def pieces(item: str) -> list[tuple[int, str]]:
     return [(a, item[a:b]) for a, b in zip(cuts, cuts[1:])]
 
 
-def best_end(pattern: str, text: str, budget: int) -> tuple[int, int] | None:
+def best_end(pattern: str, text: str, budget: int, bound: bool = False) -> tuple[int, int] | None:
     """(distance, end) of the occurrence of ``pattern`` in ``text`` with the fewest
     edits, the first of them; None if it takes more than ``budget``.
 
     Myers' algorithm: one bit per pattern character holds the vertical
     differences of a column of the edit table, whose top row is zero so that an
-    occurrence may start anywhere.
+    occurrence may start anywhere; ``bound`` to the beginning it counts upwards.
     """
     m = len(pattern)
     full, last = (1 << m) - 1, 1 << (m - 1)
@@ -74,7 +77,7 @@ def best_end(pattern: str, text: str, budget: int) -> tuple[int, int] | None:
             score += 1
         elif right_down & last:
             score -= 1
-        right_up = (right_up << 1) & full
+        right_up = ((right_up << 1) & full) | bound
         right_down = (right_down << 1) & full
         up = right_down | (full & ~((eq | down) | right_up))
         down = right_up & (eq | down)
@@ -83,19 +86,39 @@ def best_end(pattern: str, text: str, budget: int) -> tuple[int, int] | None:
     return best
 
 
+def ladder(parts: list[tuple[int, str]]) -> list[list[tuple[int, int, int]]]:
+    """For each piece the spans (begin, end, budget) that hold it, from the smallest to all of the item.
+
+    A span of n pieces is cut into two of about n / 2. If it has at most n - 1
+    edits, one of its halves has fewer edits than pieces as well, down to one
+    piece without any; so every occurrence has a piece whose whole ladder holds.
+    """
+    ends = [*(offset for offset, _ in parts), parts[-1][0] + len(parts[-1][1])]
+    steps: list[list[tuple[int, int, int]]] = [[] for _ in parts]
+
+    def cut(first: int, last: int) -> None:
+        if last - first > 1:
+            middle = (first + last + 1) // 2
+            cut(first, middle)
+            cut(middle, last)
+            for k in range(first, last):
+                steps[k].append((ends[first], ends[last], last - first - 1))
+
+    cut(0, len(parts))
+    return steps
+
+
 class Matcher:
     """All pieces of a block of items in one automaton."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items = items
-        self.whole: dict[str, list[int]] = {}
-        owners: dict[str, list[tuple[int, int]]] = {}
-        for number, (_, text) in enumerate(items):
-            if 0 < len(text) < PIECE:
-                self.whole.setdefault(text, []).append(number)
-            elif text:
-                for offset, piece in pieces(text):
-                    owners.setdefault(piece, []).append((number, offset))
+        owners: dict[str, list[tuple[int, int, int]]] = {}
+        self.parts = [pieces(text) if text else [] for _, text in items]
+        self.ladders = [ladder(parts) if parts else [] for parts in self.parts]
+        for number, parts in enumerate(self.parts):
+            for k, (offset, piece) in enumerate(parts):
+                owners.setdefault(piece, []).append((number, offset, k))
         self.automaton = ahocorasick.Automaton()
         for piece, places in owners.items():
             self.automaton.add_word(piece, (len(piece), places))
@@ -103,17 +126,39 @@ class Matcher:
         if owners:
             self.automaton.make_automaton()
 
+    def _holds(self, number: int, piece: int, start: int, text: str) -> bool:
+        """Whether the spans around a piece occur near where its hit puts them; all but the whole item."""
+        item = self.items[number][1]
+        for begin, end, budget in self.ladders[number][piece][:-1]:
+            window = text[max(0, start + begin - budget) : start + end + budget]
+            if budget == 1:
+                # one edit leaves a half of the piece beside the hit as it is
+                offset, own = self.parts[number][piece]
+                other = item[offset + len(own) : end] if offset == begin else item[begin:offset]
+                half = len(other) // 2
+                if other[:half] not in window and other[half:] not in window:
+                    return False
+            if item[begin:end] not in window and best_end(item[begin:end], window, budget) is None:
+                return False
+        return True
+
     def matches(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item_id, distance, start, end) of each item found, at its best place."""
         text = normalise(text)
-        found = [(self.items[n][0], 0, 0, len(text)) for n in self.whole.get(text, ())]
+        found: list[tuple[int, int, int, int]] = []
         guesses: dict[int, set[int]] = {}
         if self.searchable:
             for end, (length, places) in self.automaton.iter(text):
-                for number, offset in places:
-                    guesses.setdefault(number, set()).add(end + 1 - length - offset)
+                for number, offset, piece in places:
+                    start = end + 1 - length - offset
+                    mine = guesses.get(number, ())
+                    if start not in mine and self._holds(number, piece, start, text):
+                        guesses.setdefault(number, set()).add(start)
         for number, starts in guesses.items():
             item_id, item = self.items[number]
+            if len(item) < SHORT:
+                found += self._between_words(number, sorted(starts), text)
+                continue
             budget = edit_budget(len(item))
             best = None
             for low, high in _merged(sorted(starts), len(item) + 2 * budget):
@@ -125,29 +170,22 @@ class Matcher:
                     best = (hit[0], begin + hit[1])
             if best:
                 distance, end = best
-                back = text[max(0, end - len(item) - budget) : end][::-1]
-                start = end - len(item) if distance == 0 else end - best_end_fixed(item[::-1], back, distance)
+                start = end - len(item)
+                if distance:
+                    back = text[max(0, end - len(item) - budget) : end][::-1]
+                    start = end - best_end(item[::-1], back, distance, bound=True)[1]
                 found.append((item_id, distance, start, end))
         return sorted(found, key=lambda m: (m[0] is None, m))
 
-
-def best_end_fixed(pattern: str, text: str, distance: int) -> int:
-    """Length of the shortest prefix of ``text`` within ``distance`` of ``pattern``.
-
-    The edit table row by row, within a band of ``distance`` on either side.
-    """
-    m, far = len(pattern), distance + 1
-    row = {j: j for j in range(min(distance, len(text)) + 1)}
-    for i in range(1, m + 1):
-        new: dict[int, int] = {}
-        for j in range(max(0, i - distance), min(len(text), i + distance) + 1):
-            new[j] = min(
-                row.get(j, far) + 1,
-                new.get(j - 1, far) + 1,
-                row.get(j - 1, far) + (j == 0 or pattern[i - 1] != text[j - 1]) if j else far,
-            )
-        row = new
-    return min((j for j, d in row.items() if d <= distance), default=m)
+    def _between_words(self, number: int, starts: list[int], text: str) -> list[tuple[int, int, int, int]]:
+        """A short item: unedited, and no part of a longer word."""
+        item_id, item = self.items[number]
+        for start in starts:
+            end = start + len(item)
+            if not (start and text[start - 1].isalnum() and item[0].isalnum()):
+                if not (end < len(text) and text[end].isalnum() and item[-1].isalnum()):
+                    return [(item_id, 0, start, end)]
+        return []
 
 
 def _merged(starts: list[int], reach: int) -> list[tuple[int, int]]:

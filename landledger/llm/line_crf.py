@@ -8,7 +8,7 @@ as weights, and a logistic curve fitted on the same training documents turns
 the average into a probability.
 
 The model is trained on the driver from a bounded sample of labelled documents
-(``MAX_DOCS`` documents, ``MAX_LINES`` lines of each); each line of a training
+(``MAX_DOCS`` whole documents); each line of a training
 document carries its document's label. Scoring is a map over whole texts: Arrow
 batches in, one probability per document out, no shuffle.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from landledger.llm.shared import table
 
 # Bounds of the training sample; scoring has none.
-MAX_DOCS, MAX_LINES = 3000, 200
+MAX_DOCS = 3000
 THRESHOLD = 0.3
 STEPS, RATE, PENALTY = 250, 0.05, 1e-3
 
@@ -252,11 +252,12 @@ def _held_out():
     return F.coalesce(fold == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_lines: int = MAX_LINES) -> Model:
-    """Train on at most ``max_docs`` labelled documents outside the held-out fold.
+def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
+    """Train on at most ``max_docs`` labelled documents outside the held-out fold, each of them whole.
 
-    The sample is the documents whose hashed id is smallest. Several labels of
-    a document count as their mean, rounded half up; NULL labels do not count.
+    The sample is the documents whose hashed id is smallest, and of rows that
+    repeat an id the one whose hashed text is. Several labels of a document
+    count as their mean, rounded half up; NULL labels do not count.
     """
     known = (
         labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -272,14 +273,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_lines:
             rows = []
             for doc_id, text, label in zip(batch["doc_id"], batch["text"], batch["label"]):
                 own, lengths = line_features(text)
-                joined = with_neighbours(own)[:max_lines]
-                rows.append((doc_id, label, joined.tobytes(), lengths[:max_lines].astype("<i8").tobytes()))
+                rows.append((doc_id, label, with_neighbours(own).tobytes(), lengths.astype("<i8").tobytes()))
             yield pd.DataFrame(rows, columns=["doc_id", "label", "x", "w"])
 
     # at most max_docs labels, so the broadcast is bounded
-    chosen = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
+    chosen = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")
+    # one row per id, chosen in the map tasks
+    chosen = chosen.groupBy("doc_id", "label").agg(F.min(F.struct(F.xxhash64("text"), "text")).getField("text").alias("text"))
     rows = chosen.mapInPandas(sampled, "doc_id long, label int, x binary, w binary").collect()
-    rows = sorted(rows, key=lambda r: (r.doc_id, bytes(r.x)))[:max_docs]
+    rows = sorted(rows, key=lambda r: r.doc_id)
     x = [np.frombuffer(r.x, np.float32).reshape(-1, 3 * OWN) for r in rows]
     w = [np.frombuffer(r.w, "<i8") for r in rows]
     return train(x, w, np.array([r.label for r in rows], dtype=int))

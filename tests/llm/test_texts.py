@@ -96,7 +96,8 @@ def test_myers_against_table():
         assert (got is None) == (least > budget)
         if got:
             assert got[0] == least
-            width = edit_matching.best_end_fixed(pattern[::-1], text[: got[1]][::-1], least)
+            distance, width = edit_matching.best_end(pattern[::-1], text[: got[1]][::-1], least, bound=True)
+            assert distance == least
             assert distance_table(pattern, text[got[1] - width : got[1]]) == least
 
 
@@ -116,6 +117,39 @@ def test_every_item_within_budget_is_found():
     assert matcher.matches("nothing of this kind " * 50) == []
 
 
+def test_edit_budget_is_a_tenth():
+    assert [edit_matching.edit_budget(n) for n in (17, 39, 81, 100, 200, 394)] == [0, 3, 8, 10, 20, 39]
+    for n in (20, 39, 100, 394):
+        parts = edit_matching.pieces("x" * n)
+        assert len(parts) == edit_matching.edit_budget(n) + 1 and min(len(p) for _, p in parts) >= 6
+        for steps in edit_matching.ladder(parts):
+            assert steps[-1] == (0, n, edit_matching.edit_budget(n))
+
+
+def test_items_at_the_full_budget_are_found():
+    """Edits spread so that one piece is left alone, and edits in one half only."""
+    rng = random.Random(8)
+    for trial in range(60):
+        item = edit_matching.normalise("".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(40, 200))))
+        budget = edit_matching.edit_budget(len(item))
+        parts = edit_matching.pieces(item)
+        spared = rng.randrange(len(parts))
+        places = [offset + rng.randrange(len(p)) for k, (offset, p) in enumerate(parts) if k != spared]
+        if trial % 2:
+            places = rng.sample(range(len(item) // 2), budget)
+        text = "".join("Z" if k in places else c for k, c in enumerate(item))
+        text = "some words before " + text.replace("Z", "#") + " and some behind"
+        found = edit_matching.Matcher([(1, item)]).matches(text)
+        assert [m[:2] for m in found] == [(1, distance_table(item, edit_matching.normalise(text)))]
+
+
+def test_short_items_are_found_between_words():
+    matcher = edit_matching.Matcher([(1, "exactly 17 chars."), (2, "it"), (3, "½ cup")])
+    assert matcher.matches("this is exactly 17 chars. long")[0][:2] == (1, 0)
+    assert [m[0] for m in matcher.matches("with items as bits, sit")] == []
+    assert [m[0] for m in matcher.matches("take it: ½ cup")] == [2, 3]
+
+
 def test_leaks_of_odd_rows(spark):
     item = "the quick brown fox jumps over the lazy dog and runs away"
     schema = "doc_id long, text string, leaks string, item_id long"
@@ -127,8 +161,8 @@ def test_leaks_of_odd_rows(spark):
         got = edit_matching.with_leaks(docs, items, chars)
         found = sorted((str(r.doc_id), sorted({str(m.item_id) for m in r.leaks})) for r in got.collect())
         both = ["10", "None"]
-        assert found == sorted([("1", []), ("2", []), ("None", both), ("3", both), ("4", []), ("5", ["13"]), ("6", []), ("7", both), ("7", both)])
-    assert sorted(r.doc_id for r in edit_matching.without_leaks(docs, items).collect()) == [1, 2, 4, 6]
+        assert found == sorted([("1", []), ("2", []), ("None", both), ("3", both), ("4", []), ("5", ["13"]), ("6", ["13"]), ("7", both), ("7", both)])
+    assert sorted(r.doc_id for r in edit_matching.without_leaks(docs, items).collect()) == [1, 2, 4]
     assert edit_matching.with_leaks(docs.filter("false"), items).collect() == []
     assert edit_matching.without_leaks(docs, items.filter("false")).count() == 9
 
