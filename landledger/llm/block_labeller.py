@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from landledger.llm.shared import hashed_sample, table
 
 # Bounds of the training sample only.
-MAX_PAGES, MAX_BLOCKS, SAMPLE_CHARS = 300, 150, 200_000
+MAX_PAGES, MAX_BLOCKS = 300, 150
 PATH_SLOTS, WORD_SLOTS, COUNTS = 96, 32, 6
 WIDTH = PATH_SLOTS + WORD_SLOTS + COUNTS
 HIDDEN = 16
@@ -381,7 +381,16 @@ def _varied(blocks, labels, texts: list[str], draw) -> tuple[list, list]:
         found.append(label)
     for _ in range(draw.integers(0, 4)):
         insert(base, every)
-    return out[:MAX_BLOCKS], found[:MAX_BLOCKS]
+    return _run(out, found, draw)
+
+
+def _run(blocks: list, labels: list, draw) -> tuple[list, list]:
+    """At most MAX_BLOCKS blocks in a row, from anywhere in a page; its ends come as often as its middle."""
+    rest = len(blocks) - MAX_BLOCKS
+    if rest <= 0:
+        return blocks, labels
+    begin = (0, rest, int(draw.integers(rest + 1)))[draw.integers(3)]
+    return blocks[begin : begin + MAX_BLOCKS], labels[begin : begin + MAX_BLOCKS]
 
 
 def train(pages: list[list[tuple[tuple[str, ...], str]]], seed: int = 5) -> Network:
@@ -404,7 +413,7 @@ def train(pages: list[list[tuple[tuple[str, ...], str]]], seed: int = 5) -> Netw
     for epoch in range(EPOCHS):
         sample = []
         for p, y in marked:
-            blocks, labels = (p[:MAX_BLOCKS], y[:MAX_BLOCKS]) if draw.random() < 0.3 else _varied(p, y, texts, draw)
+            blocks, labels = _run(p, y, draw) if draw.random() < 0.3 else _varied(p, y, texts, draw)
             x = block_vectors(blocks, paths)
             if draw.random() < 0.3:
                 x[:, :PATH_SLOTS] *= draw.random((1, PATH_SLOTS)) > 0.2
@@ -465,7 +474,7 @@ def extract(pages: list[str | None], net: Network, paths: dict) -> list[str]:
 def fit(pages: DataFrame, max_pages: int = MAX_PAGES) -> Network:
     """Train on the ``max_pages`` pages of least hashed id."""
     # sampling only: pages are labelled whole
-    known = pages.filter("html IS NOT NULL").select("page_id", F.substring("html", 1, SAMPLE_CHARS).alias("html"))
+    known = pages.filter("html IS NOT NULL").select("page_id", "html")
     sample = hashed_sample(known, "page_id", max_pages).collect()
     return train([leaf_blocks(html) for html in sorted(r.html for r in sample)])
 

@@ -126,6 +126,12 @@ def learn_rotations(sample: np.ndarray, count: int) -> list[Rotation]:
     return [learn_rotation(sample, seed=7 + k) for k in range(count)]
 
 
+def random_rotations(dims: int, bits: int, count: int) -> list[Rotation]:
+    """Random directions for vectors of a length that is not learned: their bits differ with the same chance."""
+    draws = [np.random.default_rng([7 + k, dims]).standard_normal((dims, bits)) for k in range(count)]
+    return [Rotation(np.zeros(dims), axes) for axes in draws]
+
+
 def vector_codes(unit: np.ndarray, rotations: list[Rotation]) -> np.ndarray:
     """One 64-bit code per unit vector (rows) and rotation."""
     codes = np.empty((len(unit), len(rotations)), np.int64)
@@ -137,46 +143,52 @@ def vector_codes(unit: np.ndarray, rotations: list[Rotation]) -> np.ndarray:
 
 
 def coded_rows(vectors: DataFrame, rotations: list[Rotation]) -> DataFrame:
-    """(vec_id, hi, lo, vector, code per rotation); all but vec_id NULL for vectors that link with nothing.
+    """(vec_id, dims, hi, lo, vector, code per rotation); NULL from hi on for vectors that link with nothing.
 
     ``vector`` holds doubles, ``hi`` and ``lo`` are its digest.
     """
-    dims = len(rotations[0].mean)
+    learned, bits = len(rotations[0].mean), rotations[0].axes.shape[1]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by_length = {learned: rotations}
         for batch in batches:
-            rows, ids = [], batch.column(0)
-            for value in batch.column(1):
-                rows.append(_usable(value, dims))
-            found = np.array([r for r in rows if r is not None]).reshape(-1, dims)
-            unit = found / np.linalg.norm(found, axis=1, keepdims=True) if len(found) else found
-            codes = iter(vector_codes(unit, rotations).tolist())
-            out = []
-            for row in rows:
-                if row is None:
-                    out.append((None, None, None, None))
-                else:
-                    raw = row.tobytes()
-                    d = np.frombuffer(xxhash.xxh3_128_digest(raw), "<i8").tolist()
-                    out.append((d[0], d[1], raw, next(codes)))
+            ids, rows = batch.column(0), [_usable(value) for value in batch.column(1)]
+            sizes = np.array([0 if r is None else len(r) for r in rows])
+            out: list[tuple] = [(None, None, None, None)] * len(rows)
+            for size in np.unique(sizes[sizes > 0]).tolist():
+                if size not in by_length:
+                    by_length[size] = random_rotations(size, bits, len(rotations))
+                at = np.flatnonzero(sizes == size).tolist()
+                found = np.array([rows[k] for k in at])
+                codes = vector_codes(found / np.linalg.norm(found, axis=1, keepdims=True), by_length[size]).tolist()
+                for k, code in zip(at, codes):
+                    raw = rows[k].tobytes()
+                    out[k] = (*np.frombuffer(xxhash.xxh3_128_digest(raw), "<i8").tolist(), raw, code)
+                if len(by_length) > 64:
+                    by_length = {learned: rotations}
             hi, lo, raw, code = zip(*out) if out else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array(hi, pa.int64()), pa.array(lo, pa.int64()), pa.array(raw, pa.binary()), pa.array(code, pa.list_(pa.int64()))],
-                names=["vec_id", "hi", "lo", "vector", "code"],
+                [
+                    ids, pa.array(sizes, pa.int32()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
+                    pa.array(raw, pa.binary()), pa.array(code, pa.list_(pa.int64())),
+                ],
+                names=["vec_id", "dims", "hi", "lo", "vector", "code"],
             )
 
     return vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>")).mapInArrow(
-        encode, "vec_id long, hi long, lo long, vector binary, code array<long>"
+        encode, "vec_id long, dims int, hi long, lo long, vector binary, code array<long>"
     )
 
 
-def _usable(value, dims: int) -> np.ndarray | None:
-    if not value.is_valid or len(value) != dims or value.values.null_count:
+def _usable(value) -> np.ndarray | None:
+    """The vector scaled by a power of two, so that its norm neither overflows nor vanishes; None if it links with nothing."""
+    if not value.is_valid or not len(value) or value.values.null_count:
         return None
     row = value.values.to_numpy(zero_copy_only=False).astype(np.float64) + 0.0  # no negative zeros
-    with np.errstate(over="ignore"):
-        norm = float(row @ row)
-    return row if math.isfinite(norm) and norm > 0 else None
+    largest = float(np.abs(row).max())
+    if not math.isfinite(largest) or not largest:
+        return None
+    return np.ldexp(row, -math.frexp(largest)[1])
 
 
 def _compare(tables: list[tuple[int, int]], least: float):
@@ -238,9 +250,10 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     """Every row of ``vectors`` (vec_id, embedding) with n_links, component_id and kept.
 
     Vectors are linked when their cosine is at least ``least``. Vectors that are
-    NULL, zero, of another length than the most common one, or that hold NULL
-    or non-finite numbers link with nothing, as do rows with a NULL vec_id (whose
-    component is NULL and which are not kept). Repeated rows are vectors of
+    NULL, empty, zero, or that hold NULL or non-finite numbers link with nothing,
+    as do rows with a NULL vec_id (whose component is NULL and which are not
+    kept). Vectors meet only vectors of their own length; the rotation is learned
+    for the most common one, others get random directions. Repeated rows are vectors of
     their own and link with each other; rows of one vec_id with different
     vectors share a component. An empty table gives no rows. Links are found
     with a recall that the tests measure; no link below the bound is ever
@@ -251,7 +264,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     dims = common["dims"] if common else 1
     same_size = vectors.filter(F.col("vec_id").isNotNull() & (F.size("embedding") == dims))
     sampled = hashed_sample(same_size.select("vec_id", "embedding"), "vec_id", SAMPLE)
-    rows = [_usable(v, dims) for v in sampled.select("embedding").toArrow().column(0).cast(pa.list_(pa.float64()))]
+    rows = [_usable(v) for v in sampled.select("embedding").toArrow().column(0).cast(pa.list_(pa.float64()))]
     sample = np.array([r / np.linalg.norm(r) for r in rows if r is not None]).reshape(-1, dims)
     # rows, not classes, as codes come first: copies can only widen substrings
     tables = hamming_tables(min(MAX_BITS, dims), same_size.count(), least)
@@ -262,7 +275,8 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
     # equal vectors are one row, that of the smallest vec_id
     classes = materialize(
         usable.groupBy("hi", "lo").agg(
-            F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("members"), F.min("vector").alias("vector"), F.min("code").alias("code")
+            F.min("vec_id").alias("id"), F.min("dims").alias("dims"), F.count(F.lit(1)).alias("members"),
+            F.min("vector").alias("vector"), F.min("code").alias("code"),
         ),
         "classes",
     )
@@ -270,21 +284,21 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9) -> DataFrame:
         F.struct(F.lit(k).alias("number"), F.col("code")[r].bitwiseAND(F.lit(_signed(m))).alias("key"))
         for k, (r, m) in enumerate(tables)
     ])
-    placed = classes.select("id", "code", F.explode(keys).alias("at")).select("id", "code", "at.number", "at.key")
+    placed = classes.select("dims", F.explode(keys).alias("at")).select("dims", "at.number", "at.key")
     large = materialize(
-        placed.groupBy("number", "key").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
+        placed.groupBy("number", "key", "dims").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1")
         .withColumn("chunks", F.ceil(F.col("rows") / CHUNK_ROWS).cast("int")),
         "buckets",
     )
-    full = classes.select("id", "code", "members", "vector", F.explode(keys).alias("at"))
-    full = full.select("id", "code", "members", "vector", "at.number", "at.key").join(large, ["number", "key"])
+    full = classes.select("id", "dims", "code", "members", "vector", F.explode(keys).alias("at"))
+    full = full.select("id", "dims", "code", "members", "vector", "at.number", "at.key").join(large, ["number", "key", "dims"])
     chunk = F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")
     partners = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda k: k)
     dealt = full.withColumn("chunk", chunk).withColumn("partner", F.explode(partners))
     dealt = dealt.withColumn("i", F.least("chunk", "partner")).withColumn("j", F.greatest("chunk", "partner"))
-    dealt = dealt.select("number", "key", "i", "j", "chunk", "id", "code", "members", "vector")
+    dealt = dealt.select("number", "key", "dims", "i", "j", "chunk", "id", "code", "members", "vector")
     found = materialize(
-        dealt.groupBy("number", "key", "i", "j").applyInArrow(_compare(tables, least), "id long, links long, root long"),
+        dealt.groupBy("number", "key", "dims", "i", "j").applyInArrow(_compare(tables, least), "id long, links long, root long"),
         "found",
     )
     links = found.groupBy("id").agg(F.sum("links").alias("links"))

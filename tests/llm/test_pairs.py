@@ -243,3 +243,16 @@ def test_components_raise_when_they_are_not_settled(spark):
     with pytest.raises(RuntimeError, match="not settled"):
         components(chain, max_rounds=1)
     assert {r["component"] for r in components(chain).collect()} == {0}
+
+
+def test_hamming_index_of_other_lengths_and_magnitudes(spark):
+    rows = [(k, [math.cos(k / 3), math.sin(k / 3), 0.0, 0.0]) for k in range(20)]
+    rows += [(100, [1.0, 2.0]), (101, [1.0, 2.0]), (102, [2.0, 4.01]), (103, [-1.0, 2.0])]
+    rows += [(110, [1e200, 0.0, 0.0, 1e199]), (111, [1e200, 0.0, 0.0, 1e199]), (112, [1e-200, 0.0, 0.0, 1e-201])]
+    rows += [(120, [0.0, 0.0, 0.0, 5e-324]), (121, [0.0, 0.0, 0.0, 1.0]), (122, []), (123, []), (124, [0.0]), (125, [3.0]), (126, [5.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in hamming_index.near_duplicates(df).collect()}
+    assert [got[k] for k in (100, 101, 102, 103)] == [(2, 100), (2, 100), (2, 100), (0, 103)]
+    assert got[110] == got[111] and got[110][0] >= 2 and got[112][1] == got[110][1]
+    assert got[120] == (1, 120) and got[121] == (1, 120)
+    assert got[122] == (0, 122) and got[123] == (0, 123) and got[124] == (0, 124) and got[125] == (1, 125) == got[126]
