@@ -113,10 +113,10 @@ def asked_only(scanned: DataFrame, asked: DataFrame, partitions: Sequence[str])
     first and prune its directories before files are opened (dynamic partition
     pruning), where ``asked`` is small enough to be broadcast, which is counted.
     """
-    # folders never have an empty name; the comparison also tells Catalyst that the side is selective
+    # folders never have an empty name; the comparison tells Catalyst that the side is selective, which <> would not
     chosen = asked.select(*[F.col(p).cast("string").alias(p) for p in partitions]).distinct()
     for p in partitions:
-        chosen = chosen.filter(F.col(p) != "")
+        chosen = chosen.filter(F.col(p) > "")
     small = chosen.limit(MOST_ASKED + 1).count() <= MOST_ASKED
     return scanned.join(F.broadcast(chosen) if small else chosen, list(partitions), "left_semi")
 
