@@ -310,6 +310,13 @@ def test_pipeline_stages_take_odd_rows(spark, tmp_path):
         assert out.columns == docs.columns, name
     once = [r.doc_id for r in corpus_pipeline.near_duplicates(spark, docs, folder).collect()]
     assert sorted(map(str, once)) == ["1", "2", "3", "None", "None"]
+    # columns that are called like those of the stages keep their values
+    clashing = ["score", "held_out", "predicted", "leaks", "n_shingles", "component_id", "id", "row"]
+    named = docs.selectExpr("*", *[f"'own' AS {c}" for c in clashing])
+    for name, stage in corpus_pipeline.STAGES[:3]:
+        out = stage(spark, named, folder)
+        assert out.columns == named.columns, name
+        assert {v for r in out.select(*clashing).collect() for v in r} <= {"own"}, name
     assert corpus_pipeline.run(spark, folder).count() > 0
     docs.filter("false").write.mode("overwrite").parquet(f"{folder}/none/documents.parquet")
     for t in ("benchmark", "labels"):
