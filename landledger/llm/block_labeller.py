@@ -381,10 +381,10 @@ def _varied(blocks, labels, texts: list[str], draw) -> tuple[list, list]:
         found.append(label)
     for _ in range(draw.integers(0, 4)):
         insert(base, every)
-    return _run(out, found, draw)
+    return _stretch(out, found, draw)
 
 
-def _run(blocks: list, labels: list, draw) -> tuple[list, list]:
+def _stretch(blocks: list, labels: list, draw) -> tuple[list, list]:
     """At most MAX_BLOCKS blocks in a row, from anywhere in a page; its ends come as often as its middle."""
     rest = len(blocks) - MAX_BLOCKS
     if rest <= 0:
@@ -413,7 +413,7 @@ def train(pages: list[list[tuple[tuple[str, ...], str]]], seed: int = 5) -> Netw
     for epoch in range(EPOCHS):
         sample = []
         for p, y in marked:
-            blocks, labels = _run(p, y, draw) if draw.random() < 0.3 else _varied(p, y, texts, draw)
+            blocks, labels = _stretch(p, y, draw) if draw.random() < 0.3 else _varied(p, y, texts, draw)
             x = block_vectors(blocks, paths)
             if draw.random() < 0.3:
                 x[:, :PATH_SLOTS] *= draw.random((1, PATH_SLOTS)) > 0.2
