@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landledger.llm.shared import small_batches, table
-from landledger.llm.token_counts import PATTERN
+from landledger.llm.token_counts import PATTERN, encode_whole
 from landledger.session import materialize
 
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
@@ -88,7 +88,7 @@ class ByteLevel:
 
             ranks = {token: i for i, token in enumerate(self.bytes) if token}
             ranked = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
-            return lambda texts: [ranked.encode_ordinary(t) for t in texts]
+            return lambda texts: [encode_whole(ranked, t) for t in texts]
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_str(self.raw.decode("utf-8"))

@@ -11,6 +11,7 @@ lie before a block, and where the last of them is.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +31,26 @@ BLOCK_TOKENS = 1 << 20
 FILE_BYTES = 1 << 30
 
 
+# White space of the pattern above (Unicode's White_Space) in runs that, a hundred times
+# longer, pass the stack of its engine. Texts below the length have no such run.
+LONG_SPACE = re.compile("[\\x09-\\x0d\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]{1000,}")
+LONG_TEXT = 100_000
+
+
+def encode_whole(encoding, text: str) -> list[int]:
+    """Ids of a text by a ``tiktoken`` encoding with PATTERN, also with white space of any length.
+
+    A run of white space is one piece up to its last character, which goes with
+    what follows; at the end of the text it is one piece.
+    """
+    ids, at = [], 0
+    for run in LONG_SPACE.finditer(text) if len(text) >= LONG_TEXT else ():
+        ids += encoding.encode_ordinary(text[at : run.start()])
+        at = run.end() - (run.end() < len(text))
+        ids += encoding._encode_single_piece(text[run.start() : at])
+    return ids + encoding.encode_ordinary(text[at:]) if at else encoding.encode_ordinary(text)
+
+
 def token_type(end_of_document: int = END_OF_DOCUMENT) -> str:
     """Two bytes a token where all ids fit, else four; little-endian."""
     return "<u2" if end_of_document < 1 << 16 else "<u4"
@@ -64,7 +85,7 @@ def write_token_files(docs: DataFrame, folder: str, ranks: str = RANKS, end: int
             for doc_id, text in zip(batch["doc_id"].astype(object), batch["text"]):
                 if out is None:
                     out, ordinal = _Output(folder, "tokens"), 0
-                ids = encoder.encode_ordinary(text) if text else []
+                ids = encode_whole(encoder, text) if text else []
                 out.write(np.array([*ids, end], kind).tobytes())
                 rows.append((out.path, ordinal, None if doc_id != doc_id or doc_id is None else int(doc_id), None))
                 ordinal += 1

@@ -316,3 +316,14 @@ def test_alignment_query_covers_its_table(spark):
 
 def rows_of(tuples):
     return sorted(tuples, key=lambda t: tuple((v is None, str(v)) for v in t))
+
+
+def test_white_space_of_any_length_is_encoded():
+    from tokenizers import Tokenizer
+
+    with open(token_alignment.TOKENIZER_A, "rb") as f:
+        raw = f.read()
+    encode = token_alignment.ByteLevel(raw).encoder()
+    whole = Tokenizer.from_str(raw.decode())
+    for text in ["x" + " " * 1_500_000 + "y z", " " * 1_200_000, "q " + "\n \u3000" * 400_000 + " k" + " " * 3000 + "\u00e9", "\t" * 1_200_000 + "'s"]:
+        assert encode([text]) == [whole.encode(text, add_special_tokens=False).ids]
