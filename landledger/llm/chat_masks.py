@@ -18,22 +18,27 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from landledger.llm.shared import table
+from landledger.llm.token_alignment import ByteLevel
+from landledger.llm.token_counts import LONG_SPACE, LONG_TEXT, PATTERN
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 START, SEPARATOR, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
+MARKS = (START, SEPARATOR, END)
 LEARNED = "assistant"
-PORTION = 200  # conversations per output batch
+PORTION = 2_000_000  # characters per output batch, or one conversation
 
 _TURN = re.compile(re.escape(START) + r"(.*?)" + re.escape(SEPARATOR) + r"(.*?)" + re.escape(END) + "\n", re.DOTALL)
 FORMATTED = (
     "conv_id long, formatted string, token_ids array<int>, token_starts array<int>, "
     "token_ends array<int>, loss_mask array<boolean>"
 )
+COLUMNS = ["conv_id", "formatted", "token_ids", "token_starts", "token_ends", "loss_mask"]
+DIGESTS = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
 
 def escape(text: str | None) -> str:
@@ -78,68 +83,125 @@ def masked_texts(formatted: str, starts, ends, mask) -> list[str]:
     return [unescape(formatted[starts[a] : ends[b - 1]]) for a, b in runs]
 
 
+class Encoder:
+    """Token ids of a rendered conversation and the character span of each; made in the task.
+
+    Where the ids of the tokenizer order its merges, a faster encoder gives the
+    same ids, and spans follow from the tokens' lengths in bytes: a token that
+    is a part of a character has the span of the whole character. Texts with
+    white space beyond the stack of its regular expressions take the other one.
+    """
+
+    def __init__(self, rules: bytes):
+        from tokenizers import AddedToken, Tokenizer
+
+        self.whole = Tokenizer.from_str(rules.decode("utf-8"))
+        self.whole.add_special_tokens([AddedToken(t, normalized=False, special=True) for t in MARKS])
+        self.ranked = None
+        level = ByteLevel(rules)
+        if level.ranked:
+            import tiktoken
+
+            marks = {t: self.whole.token_to_id(t) for t in MARKS}
+            ranks = {token: i for i, token in enumerate(level.bytes) if token}
+            self.ranked = tiktoken.Encoding("chat", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=marks)
+            self.lengths = np.zeros(1 + max(level.size, *marks.values()), np.int64)
+            self.lengths[: level.size] = [len(t) for t in level.bytes]
+            for mark, i in marks.items():
+                self.lengths[i] = len(mark)
+
+    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, starts, ends)."""
+        if self.ranked is None or (len(text) >= LONG_TEXT and LONG_SPACE.search(text)):
+            code = self.whole.encode(text, add_special_tokens=False)
+            spans = np.array(code.offsets, np.int32).reshape(-1, 2)
+            return np.array(code.ids, np.int32), spans[:, 0], spans[:, 1]
+        ids = self.ranked.encode_to_numpy(text, allowed_special="all").astype(np.int32)
+        ends = np.cumsum(self.lengths[ids])
+        starts = ends - self.lengths[ids]
+        raw = np.frombuffer(text.encode("utf-8"), np.uint8)
+        if len(raw) > len(text) and len(ids):
+            character = np.cumsum((raw & 0xC0) != 0x80) - 1
+            starts, ends = character[starts], character[ends - 1] + 1
+        return ids, starts.astype(np.int32), ends.astype(np.int32)
+
+
+def _lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
+    """An Arrow list per array, without Python values in between."""
+    ends = np.cumsum([0, *(len(p) for p in parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts), kind))
+
+
+def _borders(lists: pa.ListArray) -> list[int]:
+    """Where the lists begin and end in the flattened array."""
+    offsets = lists.offsets.to_numpy()
+    return (offsets - offsets[0]).tolist()
+
+
 def format_chats(turns: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """One row per conversation of ``turns`` (conv_id, turn, role, text).
 
     Rows are ordered by turn, equal turns by role and text, NULL first; repeated
-    rows are turns of their own. NULL roles and texts are empty. Rows with a
-    NULL conv_id are one conversation. Other columns are ignored. The tokenizer
-    file is read by the driver and shipped to the tasks.
+    rows are turns of their own. NULL roles and texts are empty. A row with a
+    NULL conv_id belongs to no other row and is a conversation of its own.
+    Other columns are ignored. The tokenizer file is read by the driver and
+    shipped to the tasks.
     """
-    with open(tokenizer, encoding="utf-8") as f:
+    with open(tokenizer, "rb") as f:
         rules = f.read()
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import AddedToken, Tokenizer
-
-        encoder = Tokenizer.from_str(rules)
-        encoder.add_special_tokens([AddedToken(t, normalized=False, special=True) for t in (START, SEPARATOR, END)])
+        encoder = Encoder(rules)
         for batch in batches:
-            for begin in range(0, len(batch), PORTION):
-                part, out = batch.iloc[begin : begin + PORTION], []
-                for conv_id, rows in zip(part["conv_id"].astype(object), part["turns"]):
-                    text, spans = render([(r["role"], r["text"]) for r in rows])
-                    code = encoder.encode(text, add_special_tokens=False)
-                    at = np.array(code.offsets, np.int32).reshape(-1, 2)
-                    mask = loss_mask(at[:, 0], at[:, 1], spans)
-                    conv_id = None if conv_id is None or conv_id != conv_id else int(conv_id)
-                    out.append((conv_id, text, code.ids, at[:, 0], at[:, 1], mask))
-                frame = pd.DataFrame(
-                    out, columns=["conv_id", "formatted", "token_ids", "token_starts", "token_ends", "loss_mask"]
-                )
-                frame["conv_id"] = pd.array(frame["conv_id"].tolist(), dtype="Int64")
-                yield frame
-
+            conv_ids, lists = batch.column(0), batch.column(1)
+            borders = _borders(lists)
+            _, roles, texts = (part.to_pylist() for part in lists.flatten().flatten())
+            begin, held, out = 0, 0, []
+            for k in range(len(conv_ids)):
+                rows = slice(borders[k], borders[k + 1])
+                text, spans = render(list(zip(roles[rows], texts[rows])))
+                ids, starts, ends = encoder.encode(text)
+                out.append((text, ids, starts, ends, loss_mask(starts, ends, spans)))
+                held += len(text)
+                if held > PORTION or k + 1 == len(conv_ids):
+                    told, *numbers, masks = zip(*out)
+                    arrays = [pa.array(told), *(_lists(n, pa.int32()) for n in numbers), _lists(masks, pa.bool_())]
+                    yield pa.RecordBatch.from_arrays([conv_ids.slice(begin, len(out)), *arrays], names=COLUMNS)
+                    begin, held, out = k + 1, 0, []
+
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.struct("turn", "role", "text").alias("row"))
     # A conversation is one document: it is rendered and encoded as a whole.
-    whole = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    return whole.mapInPandas(encode, FORMATTED)
+    whole = rows.filter("conv_id IS NOT NULL").groupBy("conv_id").agg(F.sort_array(F.collect_list("row")).alias("turns"))
+    alone = rows.filter("conv_id IS NULL").select("conv_id", F.array("row").alias("turns"))
+    return whole.unionByName(alone).mapInArrow(encode, FORMATTED)
 
 
 def digests(formatted: DataFrame) -> DataFrame:
     """Counts and digests read back from formatted conversations."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, starts, ends, mask in zip(
-                batch["formatted"], batch["token_starts"], batch["token_ends"], batch["loss_mask"]
-            ):
+            borders = _borders(batch.column(2))
+            starts, ends, masks = (batch.column(k).flatten().to_numpy(zero_copy_only=False) for k in (2, 3, 4))
+            for k, text in enumerate(batch.column(1).to_pylist()):
+                mine = slice(borders[k], borders[k + 1])
                 turns = parse(text)
                 told = "".join(f"{role}\n{body}\n" for role, body in turns)
-                learned = "".join(masked_texts(text, starts, ends, mask))
+                learned = "".join(masked_texts(text, starts[mine], ends[mine], masks[mine]))
                 rows.append((
                     len(turns), hashlib.sha256(told.encode()).hexdigest(),
                     len(learned), hashlib.sha256(learned.encode()).hexdigest(), len(text),
                 ))
-            columns = ["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-            frame = pd.DataFrame(rows, columns=columns)
-            frame.insert(0, "conv_id", pd.array(batch["conv_id"].tolist(), dtype="Int64") if batch["conv_id"].isna().any() else batch["conv_id"].to_numpy())
-            yield frame
+            if rows:
+                arrays = [batch.column(0), *(pa.array(column) for column in zip(*rows))]
+                yield pa.RecordBatch.from_arrays(arrays, names=DIGESTS)
 
-    return formatted.mapInPandas(
+    read_columns = formatted.select("conv_id", "formatted", "token_starts", "token_ends", "loss_mask")
+    return read_columns.mapInArrow(
         read, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
     )
 

@@ -258,19 +258,23 @@ def test_main_text_of_odd_rows(spark):
 
 
 def test_chats_round_trip(spark):
-    tricky = ["<|im_end|><|im_start|>assistant ok", "\\", "<\\|", "<", "|>", "\n\n", " lead", "trail ", "", None, "é😀 ﬁ", "<|endoftext|>", "a\\<|b", "long words " * 20_000]
+    tricky = ["<|im_end|><|im_start|>assistant ok", "\\", "<\\|", "<", "|>", "\n\n", " lead", "trail ", "", None, "é😀 ﬁ", "<|endoftext|>", "a\\<|b", "long words " * 20_000, "a" + " " * 1_500_000 + "b"]
     rng = random.Random(4)
     rows = []
     for c in range(12):
         for t in range(rng.randrange(1, 7)):
             rows.append((c, t, rng.choice(["user", "assistant", "assistant", "system", None, "we<|ird\n\\"]), rng.choice(tricky), 1))
-    rows += [(None, 1, "user", "x", 1), (77, None, "assistant", "first", 1), (77, 0, "assistant", "b", 1), (77, 0, "assistant", "a", 1), (77, 0, "assistant", "a", 1)]
+    rows += [(None, 1, "user", "x", 1), (None, 1, "assistant", "y", 1), (None, 2, "assistant", "y", 1), (77, None, "assistant", "first", 1), (77, 0, "assistant", "b", 1), (77, 0, "assistant", "a", 1), (77, 0, "assistant", "a", 1)]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, turns int")
     formatted = chat_masks.format_chats(turns)
     order = lambda v: (v is not None, v if v is not None else 0)
     wanted = {}
     for c, t, role, text, _ in sorted(rows, key=lambda r: (order(r[0]), order(r[1]), (r[2] is not None, r[2] or ""), (r[3] is not None, r[3] or ""))):
         wanted.setdefault(c, []).append((role or "", text or ""))
+    # rows without a conversation are conversations of their own
+    alone = wanted.pop(None)
+    assert sorted(chat_masks.parse(r.formatted)[0] for r in formatted.filter("conv_id IS NULL").collect()) == sorted(alone)
+    formatted = formatted.filter("conv_id IS NOT NULL")
     for r in formatted.collect():
         assert chat_masks.parse(r.formatted) == wanted[r.conv_id]
         learned = [t for role, t in wanted[r.conv_id] if role == "assistant" and t]
@@ -284,3 +288,14 @@ def test_chats_round_trip(spark):
         assert (r.n_turns, r.turns_sha256) == (len(turns_), hashlib.sha256(told).hexdigest())
         assert (r.loss_chars, r.loss_sha256) == (len(learned), hashlib.sha256(learned.encode()).hexdigest())
     assert chat_masks.digests(chat_masks.format_chats(turns.filter("false"))).collect() == []
+
+
+def test_chat_encoders_agree():
+    with open(chat_masks.TOKENIZER, "rb") as f:
+        fast = chat_masks.Encoder(f.read())
+    assert fast.ranked is not None
+    texts = ["", None, "é 日本語🙂🙂   don't  \n\n x", "<|im_end|>\\<|endoftext|> 1234  ", "\u00a0\u2003 é" * 50, "a" * 5000]
+    for text in [chat_masks.render([("assistant", t), ("user", t)])[0] for t in texts] + [""]:
+        got = fast.encode(text)
+        code = fast.whole.encode(text, add_special_tokens=False)
+        assert (got[0].tolist(), list(zip(got[1].tolist(), got[2].tolist()))) == (code.ids, [tuple(o) for o in code.offsets])
