@@ -398,25 +398,25 @@ def look_up_keys(index: CaptureIndex, urls: DataFrame) -> DataFrame:
 
     The blocks to visit are dealt over all tasks, so a key of very many captures
     is as many pieces of work as it has blocks. A block is read once, and each of
-    its keys is bisected in its lines.
+    its keys is bisected in its lines. Records of many keys are handed over together.
     """
 
     def records(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         inputs, at, lines, keys = _Inputs(), None, [], []
+        held, size = [], 0
         for batch in batches:
             for path, offset, length, key in batch[["blocks", "offset", "length", "key"]].itertuples(index=False, name=None):
                 if (path, offset) != at:
                     at, lines = (path, offset), _block(inputs, path, [None, None, int(offset), int(length)])
                     keys = [x[0] for x in lines]
-                held, size = [], 0
                 for record in _records(inputs, lines[bisect.bisect_left(keys, key) : bisect.bisect_right(keys, key)]):
                     held.append(record)
                     size += len(record["payload"])
-                    if size > 8_000_000:
+                    if size > 8_000_000 or len(held) == 10_000:
                         yield _record_frame(held)
                         held, size = [], 0
-                if held:
-                    yield _record_frame(held)
+        if held:
+            yield _record_frame(held)
 
     n = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     wanted = visits(index, urls).repartition(n, "blocks", "offset").sortWithinPartitions("blocks", "offset", "key")

@@ -299,3 +299,22 @@ def test_chat_encoders_agree():
         got = fast.encode(text)
         code = fast.whole.encode(text, add_special_tokens=False)
         assert (got[0].tolist(), list(zip(got[1].tolist(), got[2].tolist()))) == (code.ids, [tuple(o) for o in code.offsets])
+
+
+def test_records_of_many_keys_are_handed_over_together(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, f"http://a.org/{i}", "x" * i) for i in range(50)], "page_id long, url string, html string")
+    index = capture_index.archive(spark, pages)
+    found = capture_index.visits(index, pages).sort("blocks", "offset", "key").toPandas()
+
+    class Wanted:
+        def repartition(self, *args):
+            return self
+
+        sortWithinPartitions = repartition
+
+        def mapInPandas(self, records, schema):
+            return list(records(iter([found])))
+
+    monkeypatch.setattr(capture_index, "visits", lambda *args: Wanted())
+    frames = capture_index.look_up_keys(index, pages)
+    assert [sorted(f["page_id"]) for f in frames] == [list(range(50))]
