@@ -183,3 +183,28 @@ def test_hot_null_key_of_a_null_safe_join(spark):
     assert Counter(r["v"] for r in out.collect()) == {1: 50, 2: 50}
     with pytest.raises(ValueError, match="share"):
         lk.hot_keys(left, ["k"], 0)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_distinct_left_rows_are_shuffled_once(spark, hot):
+    left = spark.createDataFrame(
+        [(1, "a", 0.0), (1, "a", -0.0), (1, "b", 1.0), (None, "c", None), (None, "c", None), (None, "d", 2.0), (2, "e", 5.0)],
+        "k int, t string, v double",
+    ).repartition(3)
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z")], "k int, r string")
+    keys = spark.createDataFrame([(1, 3)], "k int, n long") if hot else None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = lk.lookup_join(left, right, ["k"], hot=keys, rows_per_salt=1, distinct=True)
+        got = rows(out)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted(
+        [(1, "a", 0.0, "x"), (1, "a", 0.0, "y"), (1, "b", 1.0, "x"), (1, "b", 1.0, "y"), (2, "e", 5.0, None),
+         (None, "c", None, None), (None, "d", 2.0, None)],
+        key=lambda t: tuple((v is None, str(v)) for v in t),
+    )
+    final = plan.split("Initial Plan")[0]
+    # of the left side, of the right side, and this test's own
+    assert hot or final.count("Exchange hashpartitioning") == 2
