@@ -20,7 +20,6 @@ from landledger.operators.projection import with_positive, with_ratio
 from landledger.session import materialize
 
 PRICE = "price_per_sqm"
-ACCURACY = 10_000
 # Items that a stored quantile sketch keeps of a group of any size.
 SKETCH_ITEMS = 8192
 
@@ -60,37 +59,53 @@ def priced_transactions(df: DataFrame, cols: PriceColumns) -> DataFrame:
     return priced.withColumn("quarter", quarter_label(cols.date))
 
 
-def _statistics(cols: PriceColumns, accuracy: int):
-    def median(c):
-        return F.percentile_approx(c, 0.5, accuracy).alias(f"median_{c}")
-
-    return [
-        F.count(F.lit(1)).alias("nb_transactions"),
-        median(PRICE),
-        F.avg(PRICE).alias(f"avg_{PRICE}"),
-        median(cols.value),
-        F.avg(cols.value).alias(f"avg_{cols.value}"),
-        F.avg(cols.surface).alias(f"avg_{cols.surface}"),
-    ]
-
-
-def price_stats(priced: DataFrame, group_by: Sequence[str], cols: PriceColumns, accuracy: int = ACCURACY) -> DataFrame:
+def price_stats(
+    priced: DataFrame, group_by: Sequence[str], cols: PriceColumns, accuracy: int | None = None
+) -> DataFrame:
     """Counts, medians and means per group.
 
-    The median is an element of the group (the lower one of two), found by a
-    mergeable sketch whose rank error is at most ``n / accuracy``: exact for
-    groups below the accuracy, and of bounded size for a group of any size.
-    :func:`exact_medians` gives exact ones.
+    The median is an element of the group (the lower one of two), exact for
+    groups of any size (:func:`exact_medians`), for which the measured columns
+    are written once. With ``accuracy`` it is found by a mergeable sketch
+    instead, lazily and with a rank error of about ``n / accuracy``.
     """
-    return priced.groupBy(*group_by).agg(*_statistics(cols, accuracy))
+    measured = [PRICE, cols.value]
+    counts = [F.count(F.lit(1)).alias("nb_transactions")]
+    means = [F.avg(c).alias(f"avg_{c}") for c in (*measured, cols.surface)]
+    if accuracy is not None:
+        sketched = [F.percentile_approx(c, 0.5, accuracy).alias(f"median_{c}") for c in measured]
+        stats = priced.groupBy(*group_by).agg(*counts, *sketched, *means)
+    else:
+        priced = materialize(priced.select(*group_by, *measured, cols.surface), "priced")
+        stats = priced.groupBy(*group_by).agg(*counts, *means)
+        # columns of one type are searched together
+        for kind in sorted({priced.schema[c].dataType.simpleString() for c in measured}):
+            mine = [c for c in measured if priced.schema[c].dataType.simpleString() == kind]
+            stats = _with_medians(stats, priced, group_by, mine)
+    return stats.select(
+        *group_by, "nb_transactions", *[f"{kind}_{c}" for c in measured for kind in ("median", "avg")], f"avg_{cols.surface}"
+    )
+
+
+def _with_medians(stats: DataFrame, priced: DataFrame, group_by: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """``stats`` with the exact medians of ``columns`` per group; NULL is a group like others."""
+    items = [F.struct(F.lit(c).alias("_measure"), F.col(c).alias("_value")) for c in columns]
+    stacked = priced.select(*group_by, F.inline(F.array(*items)))
+    found = exact_medians(stacked, [*group_by, "_measure"], "_value", nan_last=True)
+    names = {c: f"_of_{i}" for i, c in enumerate(group_by)}
+    medians = found.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(
+        *[F.max(F.when(F.col("_measure") == c, F.col("median__value"))).alias(f"median_{c}") for c in columns]
+    )
+    same = [F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()]
+    return stats.join(medians, reduce(Column.__and__, same, F.lit(True)), "left").drop(*names.values())
 
 
-def price_rollup(df: DataFrame, area: str, cols: PriceColumns, accuracy: int = ACCURACY) -> DataFrame:
+def price_rollup(df: DataFrame, area: str, cols: PriceColumns, accuracy: int | None = None) -> DataFrame:
     """Price statistics by (area, quarter)."""
     return price_stats(priced_transactions(df, cols), [area, "quarter"], cols, accuracy)
 
 
-def price_rollups(df: DataFrame, cols: PriceColumns, accuracy: int = ACCURACY) -> DataFrame:
+def price_rollups(df: DataFrame, cols: PriceColumns, accuracy: int | None = None) -> DataFrame:
     """Price statistics by (area, quarter) for every area column, from one pass.
 
     ``rollup`` names the area column a row belongs to; the other area columns
@@ -98,14 +113,16 @@ def price_rollups(df: DataFrame, cols: PriceColumns, accuracy: int = ACCURACY) -
     transactions, but the scan and the grain shuffle are shared.
     """
     priced = priced_transactions(df, cols)
-    sets = [[F.col(area), F.col("quarter")] for area in cols.areas]
-    grouped = priced.groupingSets(sets, *[F.col(a) for a in cols.areas], F.col("quarter"))
-    stats = grouped.agg(
-        *[F.grouping(a).alias(f"_g_{a}") for a in cols.areas],
-        *_statistics(cols, accuracy),
-    )
-    level = F.coalesce(*[F.when(F.col(f"_g_{a}") == 0, F.lit(a)) for a in cols.areas])
-    return stats.select(level.alias("rollup"), *[c for c in stats.columns if not c.startswith("_g_")])
+    kinds = {a: priced.schema[a].dataType for a in cols.areas}
+    levels = [
+        F.struct(
+            F.lit(area).alias("rollup"),
+            *[(F.col(a) if a == area else F.lit(None).cast(kinds[a])).alias(a) for a in cols.areas],
+        )
+        for area in cols.areas
+    ]
+    leveled = priced.select(F.inline(F.array(*levels)), "quarter", PRICE, cols.value, cols.surface)
+    return price_stats(leveled, ["rollup", *cols.areas, "quarter"], cols, accuracy)
 
 
 def price_sketches(df: DataFrame, group_by: Sequence[str], cols: PriceColumns, k: int = SKETCH_ITEMS) -> DataFrame:
@@ -150,7 +167,9 @@ def merge_sketches(sketches: DataFrame, group_by: Sequence[str], cols: PriceColu
     )
 
 
-def exact_medians(df: DataFrame, group_by: Sequence[str], column: str, most: int = 10_000) -> DataFrame:
+def exact_medians(
+    df: DataFrame, group_by: Sequence[str], column: str, most: int = 10_000, nan_last: bool = False
+) -> DataFrame:
     """Exact lower median of ``column`` per group, for groups of any size.
 
     Equal values are counted together and written once. Running totals over the
@@ -159,10 +178,11 @@ def exact_medians(df: DataFrame, group_by: Sequence[str], column: str, most: int
     The first buckets are steps of 0.1 % in either sign, so that values of all
     magnitudes are told apart; later ones are even steps between the bucket's
     least and largest value. Each round is one aggregate over what is left, and
-    a group passes one row per bucket to a task. NULL and NaN are left out.
+    a group passes one row per bucket to a task. NULL and NaN are left out; with
+    ``nan_last`` NaN counts as the largest value.
     """
     value = F.col(column).cast("double")
-    usable = df.filter(F.col(column).isNotNull() & ~F.isnan(value))
+    usable = df.filter(F.col(column).isNotNull() & (F.lit(nan_last) | ~F.isnan(value)))
     left = usable.groupBy(*group_by, F.col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
     left = materialize(left, "values")
     v = F.col("_v").cast("double")

@@ -29,7 +29,7 @@ def split_rollups(both: DataFrame) -> dict[str, DataFrame]:
 
 
 def build_gold(silver: DataFrame) -> dict[str, DataFrame]:
-    """Both tables, each a view on one pass over the sales. Lazy."""
+    """Both tables, each a view on one pass over the sales; the medians are searched at once."""
     return split_rollups(rollup.price_rollups(silver, m.PRICE_COLUMNS))
 
 

@@ -2,6 +2,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.sql import functions as F
 
 from landledger.operators import rollup
 from landledger.plans import gold
@@ -134,3 +135,31 @@ def test_exact_medians_of_values_that_are_one_double(spark):
     df = spark.createDataFrame(values, "v decimal(30,0)").withColumn("g", F.lit("a"))
     got = rollup.exact_medians(df, ["g"], "v", most=5).first()["median_v"]
     assert got == sorted(v for v, in values)[(len(values) - 1) // 2]
+
+
+def test_price_medians_are_exact_in_large_groups(spark):
+    """Beyond 10,000 transactions a group, and of a group whose key is NULL."""
+    count = 60_000
+    lines = spark.range(count).select(
+        F.concat(F.lit("m"), "id").alias("id_mutation"),
+        F.when(F.col("id") % 3 > 0, F.concat(F.lit("7510"), F.col("id") % 3)).alias("code_commune"),
+        F.lit("75").alias("code_departement"), F.lit("Vente").alias("nature_mutation"),
+        F.lit(day("2024-05-15")).alias("date_mutation"),
+        (F.pmod(F.col("id") * 7919, F.lit(100_003)) + 1).cast("double").alias("valeur_fonciere"),
+        F.lit(2.0).alias("surface_reelle_bati"),
+    )
+    groups = {}
+    for i in range(count):
+        groups.setdefault(f"7510{i % 3}" if i % 3 else None, []).append(float(i * 7919 % 100_003 + 1))
+    values = {g: statistics.median_low(v) for g, v in groups.items()}
+    whole = statistics.median_low([x for v in groups.values() for x in v])
+    tables = gold.build_gold(lines)
+    found = {r["code_commune"]: (r["median_valeur_fonciere"], r["median_price_per_sqm"]) for r in tables["code_commune"].collect()}
+    assert found == {g: (v, v / 2) for g, v in values.items()}
+    assert [r["median_valeur_fonciere"] for r in tables["code_departement"].collect()] == [whole]
+    assert gold.price_by_department(lines).first()["median_price_per_sqm"] == whole / 2
+
+
+def test_price_medians_rank_nan_last(spark):
+    df = sales(spark, *[{"id_mutation": f"m{v}", "valeur_fonciere": float(v), "surface_reelle_bati": 1.0} for v in (1, 2, "nan", "nan")])
+    assert gold.price_by_commune(df).first()["median_valeur_fonciere"] == 2.0
