@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from landledger.llm.capture_index import _Inputs, _Output
-from landledger.llm.shared import table
+from landledger.llm.shared import small_batches, table
 from landledger.session import materialize, scratch_path
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -29,6 +29,8 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 END_OF_DOCUMENT = 50256
 BLOCK_TOKENS = 1 << 20
 FILE_BYTES = 1 << 30
+# A block of empty documents has a piece per token: pieces are handed over in frames of so many.
+PIECE_ROWS = 10_000
 
 
 # White space of the pattern above (Unicode's White_Space) in runs that, a hundred times
@@ -103,7 +105,8 @@ def write_token_files(docs: DataFrame, folder: str, ranks: str = RANKS, end: int
     written = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
         write, "file string, ordinal long, doc_id long, file_tokens long"
     )
-    return materialize(written, "manifest")
+    with small_batches(docs.sparkSession):
+        return materialize(written, "manifest")
 
 
 def _frame(rows: list) -> pd.DataFrame:
@@ -133,11 +136,14 @@ def count_tokens(files: DataFrame, end: int = END_OF_DOCUMENT, block_tokens: int
         for batch in batches:
             for file, block, n in zip(batch["file"], batch["block"], batch["tokens"]):
                 raw = inputs.read(file, int(block) * block_tokens * width, int(n) * width)
-                pieces = scan_block(np.frombuffer(raw, kind), end)
-                yield pd.DataFrame({
-                    "file": file, "block": block, "piece": np.arange(len(pieces)),
-                    "tokens": pieces, "last": np.arange(len(pieces)) == len(pieces) - 1,
-                })
+                lengths = scan_block(np.frombuffer(raw, kind), end)
+                for at in range(0, len(lengths), PIECE_ROWS):
+                    tokens = lengths[at : at + PIECE_ROWS]
+                    piece = np.arange(at, at + len(tokens))
+                    yield pd.DataFrame({
+                        "file": file, "block": block, "piece": piece,
+                        "tokens": tokens, "last": piece == len(lengths) - 1,
+                    })
 
     last_block = F.floor((F.col("file_tokens") - 1) / block_tokens)
     blocks = (

@@ -265,6 +265,30 @@ def test_token_files_round_trip(spark):
     assert token_counts.count_tokens(nothing).collect() == []
 
 
+def test_token_counts_hand_over_bounded_batches(spark, tmp_path, monkeypatch):
+    """Neither the texts of a task nor the pieces of a block of empty documents are in a worker all at once."""
+    kind, taken, given = type(spark.range(0)), str(tmp_path / "taken"), str(tmp_path / "given")
+    mapped = kind.mapInPandas
+
+    def watched(df, func, schema):
+        def noted(frames, path):
+            for frame in frames:
+                with open(path, "a") as f:
+                    f.write(f"{len(frame)}\n")
+                yield frame
+
+        return mapped(df, lambda batches: noted(func(noted(batches, taken)), given), schema)
+
+    monkeypatch.setattr(kind, "mapInPandas", watched)
+    docs = spark.range(0, 25_001, 1, 1).selectExpr("id AS doc_id", "CAST(NULL AS string) AS text")
+    manifest = token_counts.write_token_files(docs, scratch_path(spark, "tokens"))
+    counts = token_counts.count_tokens(manifest.filter("file_tokens IS NOT NULL"))
+    got = manifest.join(counts, ["file", "ordinal"]).select("doc_id", "n_tokens").collect()
+    assert sorted(map(tuple, got)) == [(k, 0) for k in range(25_001)]
+    with open(taken) as f, open(given) as g:
+        assert max(map(int, f)) <= 1000 and max(map(int, g)) <= 10_000
+
+
 # --- Pipeline ----------------------------------------------------------------
 
 
