@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from landledger import publication, sinks, sources
 from landledger.operators import rollup
 from landledger.plans import property_model as m
+from landledger.session import scratch_scope
 
 
 def price_by_commune(silver: DataFrame) -> DataFrame:
@@ -37,16 +38,17 @@ def run_gold(spark: SparkSession, silver_path: str, commune_path: str, departmen
     """Rebuild both tables in full from one pass.
 
     Only the finished statistics are kept between the two writes, a few rows
-    per area and quarter.
+    per area and quarter. Scratch tables are removed at the end.
     """
     silver = sources.scan_table(spark, silver_path, m.PARTITIONS)
-    both = rollup.price_rollups(silver, m.PRICE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        tables = split_rollups(both)
-        sinks.overwrite(tables["code_commune"], commune_path)
-        sinks.overwrite(tables["code_departement"], department_path)
-    finally:
-        both.unpersist()
+    with scratch_scope(spark):
+        both = rollup.price_rollups(silver, m.PRICE_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            tables = split_rollups(both)
+            sinks.overwrite(tables["code_commune"], commune_path)
+            sinks.overwrite(tables["code_departement"], department_path)
+        finally:
+            both.unpersist()
 
 
 def refresh_gold(

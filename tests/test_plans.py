@@ -2,15 +2,16 @@ import csv
 import gzip
 import io
 import json
+import os
 import zipfile
 
 import pytest
 
 from landledger import __main__ as cli
 from landledger.operators.quality import QualityGateError
-from landledger.plans import silver
+from landledger.plans import gold, silver
 from landledger.plans import property_model as m
-from landledger.session import materialize
+from landledger.session import CLEANUP, checkpoint_dir, materialize
 from landledger.sources import scan_table
 from tests.conftest import day
 
@@ -302,3 +303,18 @@ def test_commune_lookups_are_broadcast_and_sales_shuffled_twice(spark, raw):
     with_sales = [line for line in text.splitlines() if "Exchange hashpartitioning(" in line and "adresse_nom_voie" in line]
     assert text.count("SortMergeJoin") == 2
     assert len(with_sales) <= 2
+
+
+def test_runs_remove_their_scratch_tables(spark, raw, tmp_path):
+    """Also a run that is refused; what they publish stays."""
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    run(spark, raw, tmp_path / "silver", hot_share=0.1)
+    gold.run_gold(spark, f"{tmp_path}/silver", f"{tmp_path}/communes", f"{tmp_path}/departments")
+    raw.sales["93"][0]["nature_mutation"] = "Don"
+    raw.write()
+    with pytest.raises(QualityGateError):
+        run(spark, raw, tmp_path / "refused")
+    assert set(os.listdir(folder)) == before
+    assert spark.conf.get(CLEANUP, None) != "true"
+    assert spark.read.parquet(f"{tmp_path}/departments").count() == 2
