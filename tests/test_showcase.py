@@ -6,7 +6,9 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from landledger import sinks
 from landledger.plans import silver
+from landledger.session import CLEANUP, checkpoint_dir
 from landledger.showcase import ORACLES, QUERIES, runs
 from landledger.showcase.registry import Tables
 from tools.check_oracles import TABLES, plain
@@ -62,3 +64,30 @@ def test_asked_partitions_prune_folders_at_run_time(spark, tmp_path):
     assert read.count() == lines.filter("year % 2 = 0 AND department <> '75'").count() > 0
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan
+
+
+def left_by(spark, name):
+    """Labels of the tables that a query leaves in the scratch folder."""
+    folder = checkpoint_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    QUERIES[name](spark, FOLDER)
+    return sorted(n.partition("-")[0] for n in set(os.listdir(folder)) - before)
+
+
+def test_runs_leave_what_they_publish(spark):
+    assert left_by(spark, "gold_run") == ["gold", "gold", "silver"]
+
+
+def test_sales_are_staged_before_they_are_dealt_to_partitions(spark, monkeypatch):
+    """Shuffle files of the lookups are gone by then."""
+    seen = []
+
+    def replace(df, *rest):
+        seen.append((df._jdf.queryExecution().executedPlan().toString(), spark.conf.get(CLEANUP, None)))
+        return replace_partitions(df, *rest)
+
+    replace_partitions = sinks.replace_partitions
+    monkeypatch.setattr(sinks, "replace_partitions", replace)
+    assert left_by(spark, "silver_partitions") == ["published"]
+    [(plan, cleanup)] = seen
+    assert "Exchange" not in plan and "Join" not in plan and cleanup == "true"
