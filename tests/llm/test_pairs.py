@@ -4,10 +4,13 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from landledger.llm import hamming_index, ngram_join
 from landledger.llm.components import components
+from landledger.llm.shared import small_batches
 
 DOCS = "doc_id long, text string, n long, row string"
 
@@ -256,3 +259,40 @@ def test_hamming_index_of_other_lengths_and_magnitudes(spark):
     assert got[110] == got[111] and got[110][0] >= 2 and got[112][1] == got[110][1]
     assert got[120] == (1, 120) and got[121] == (1, 120)
     assert got[122] == (0, 122) and got[123] == (0, 123) and got[124] == (0, 124) and got[125] == (1, 125) == got[126]
+
+
+def test_visitors_of_a_chunk_are_bounded_by_entries(spark, monkeypatch):
+    """A cluster of few long rows that all stay apart."""
+    monkeypatch.setattr(ngram_join, "CHUNK_ENTRIES", 100)
+    monkeypatch.setattr(ngram_join, "REPRESENTATIVES", 2)
+    held = []
+
+    def settled(whole, keys, percent, inside):
+        blocks = whole.groupBy(*keys).agg(F.sum(F.when(F.col("guest"), F.octet_length("row") / 8)).alias("visitors"))
+        held.append([r["visitors"] or 0 for r in blocks.collect()])
+        return found(whole, keys, percent, inside)
+
+    found = ngram_join._settled
+    monkeypatch.setattr(ngram_join, "_settled", settled)
+    texts = {k: " ".join(f"w{k}x{i}" for i in range(42)) for k in range(12)}
+    docs = spark.createDataFrame([*texts.items()], "id long, text string")
+    clusters = docs.select("id", F.lit(0).cast("long").alias("cluster"), F.lit(40).cast("long").alias("n"))
+    links = ngram_join.cluster_links(clusters, lambda ids: ngram_join.shingle_rows(docs, 3), 90)
+    assert links.count() == 0
+    first, second = held
+    assert len(first) > 1 and len(second) > len(first) and max(second) <= 300
+
+
+def test_small_batches_bound_rows_and_bytes(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [b.num_rows], "bytes": [b.nbytes]})
+
+    wide = spark.range(200).repartition(1).select(F.expr("CAST(repeat('x', 100000) AS BINARY)").alias("row"))
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    with small_batches(spark):
+        got = wide.mapInArrow(sizes, "rows long, bytes long").collect()
+        thin = spark.range(0, 2500, 1, 1).mapInArrow(sizes, "rows long, bytes long").collect()
+    assert sum(r["rows"] for r in got) == 200 and max(r["bytes"] for r in got) < 9_000_000
+    assert sorted(r["rows"] for r in thin) == [500, 1000, 1000] and spark.conf.get(key, None) == before
